@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import let
+
 #: A word counts as similar from this percentage on, before rounding.
 THRESHOLD = 49
 
@@ -30,75 +32,84 @@ def padded(value: Column) -> Column:
 
 def trigrams(value: Column) -> Column:
     """All trigrams of a value: padded by two blanks each side, upper case."""
-    return F.transform(
-        F.sequence(F.lit(1), F.length(value) + 2),
-        lambda i: F.substring(padded(value), i, F.lit(3)),
-    )
+    positions = F.sequence(F.lit(1), F.length(value) + 2)
+    return let(padded(value), lambda p: F.transform(
+        positions, lambda i: F.substring(p, i, F.lit(3))
+    ))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _dictionary(words: list[str]) -> Column:
+    """The words with their trigrams as one literal."""
+    entries = []
+    for i, word in enumerate(words):
+        grams = word_trigrams(word)
+        listed = ", ".join(_quoted(g) for g in dict.fromkeys(grams))
+        entries.append(
+            f"named_struct('word', {_quoted(word)}, 'order', {-i}, 'size', {len(grams)}, "
+            f"'grams', array({listed}))"
+        )
+    return F.expr(f"array({', '.join(entries)})")
 
 
-def match_count(value: Column, word: str) -> Column:
-    """Occurrences in the value of a trigram of ``word``.
+def known_trigrams(value: Column, words: list[str]) -> Column:
+    """Occurrences in the value of any trigram of the dictionary, in order.
 
-    Each position of the value starts exactly one trigram, so this counts the
-    positions at which one of the word's trigrams can be read.
+    The look-ahead reads the trigram that starts at each position, so the
+    occurrences may overlap.
     """
-    grams = "|".join(re.escape(g) for g in dict.fromkeys(word_trigrams(word)))
-    return F.regexp_count(padded(value), F.lit(f"(?={grams})"))
-
-
-def _scored(value: Column, word: str, order: int) -> Column:
-    n = len(word_trigrams(word))
-    matches = match_count(value, word)
-    return F.struct(
-        matches.alias("matches"),
-        F.lit(-order).alias("order"),
-        F.lit(word).alias("word"),
-        (matches * F.lit(100.0) / F.lit(n)).alias("percent"),
-    )
+    grams = dict.fromkeys(g for w in words for g in word_trigrams(w))
+    pattern = "|".join(re.escape(g) for g in grams)
+    return F.regexp_extract_all(padded(value), F.lit(f"(?=({pattern}))"), F.lit(1))
+
+
+def _percent(score: Column) -> Column:
+    return score["matches"] * F.lit(100.0) / score["size"]
 
 
 def _scores(value: Column, words: list[str]) -> Column:
-    scores = F.array(*[_scored(value, w, i) for i, w in enumerate(words)])
-    return F.filter(scores, lambda s: s["percent"] >= THRESHOLD)
+    """Hits as structs that sort by matches, then dictionary order."""
+    def score(found: Column) -> Column:
+        return F.transform(_dictionary(words), lambda w: F.struct(
+            F.size(F.filter(found, lambda g: F.array_contains(w["grams"], g))).alias("matches"),
+            w["order"].alias("order"), w["word"].alias("word"), w["size"].alias("size"),
+        ))
 
+    return F.filter(let(known_trigrams(value, words), score), lambda s: _percent(s) >= THRESHOLD)
 
-def _as_hit(score: Column) -> Column:
-    return F.struct(
-        score["word"].alias("word"),
-        score["matches"].alias("matches"),
-        F.bround(score["percent"], 0).cast("int").alias("similarity"),
-    )
+
+def _similarity(score: Column) -> Column:
+    return F.bround(_percent(score), 0).cast("int")
 
 
 def similar_words(value: Column, words: list[str]) -> Column:
     """Hits ``array<struct<word, matches, similarity>>``, most matches first and
     dictionary order among equals."""
-    return F.transform(F.sort_array(_scores(value, words), asc=False), _as_hit)
+    return F.transform(
+        F.sort_array(_scores(value, words), asc=False),
+        lambda s: F.struct(
+            s["word"].alias("word"), s["matches"].alias("matches"), _similarity(s).alias("similarity")
+        ),
+    )
 
 
 def top_similarity(value: Column, words: list[str]) -> Column:
     """Similarity of the hit with the most matches, null where nothing hits."""
-    best = F.array_max(_scores(value, words))
-    return F.when(best.isNotNull(), _as_hit(best)["similarity"])
+    return let(F.array_max(_scores(value, words)), _similarity)
 
 
 def any_similar(value: Column, words: list[str]) -> Column:
     """Whether any word of the dictionary is similar to the value."""
-    test = F.lit(False)
-    for word in words:
-        test = test | (
-            match_count(value, word) * F.lit(100.0) / F.lit(len(word_trigrams(word)))
-            >= THRESHOLD
-        )
-    return test
+    return F.size(_scores(value, words)) > 0
 
 
 def mentions_key(value: Column, words: list[str], minimum: int = 70) -> Column:
     """Whether the value holds one of the words literally (case counts) or its
     best hit reaches ``minimum`` percent."""
-    literal = F.lit(False)
-    for word in words:
-        literal = literal | value.contains(word)
+    literal = value.rlike("|".join(re.escape(w) for w in words))
     return literal | F.coalesce(top_similarity(value, words) >= minimum, F.lit(False))
 
 

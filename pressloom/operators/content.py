@@ -139,31 +139,36 @@ def _climb(page: Column, node: Column) -> Column:
     ).otherwise(climbed)
 
 
-def _candidates(page: Column, container: Column) -> Column:
-    """Candidate nodes of a container in post-order, each once."""
-    def content_below(root_id: Column, root_end: Column) -> Column:
-        return F.filter(
+def _steps(page: Column, containers: Column) -> Column:
+    """Where each content node and each container leads (see ``_climb``)."""
+    return F.transform(
+        F.filter(
             page["nodes"],
-            lambda n: n["is_content"] & (n["node_id"] > root_id) & (n["node_id"] <= root_end),
-        )
-
-    def targets(nodes: Column) -> Column:
-        return F.transform(nodes, lambda n: _climb(page, n))
+            lambda n: n["is_content"] | F.exists(containers, lambda c: c["node_id"] == n["node_id"]),
+        ),
+        lambda n: let(_climb(page, n), lambda s: F.struct(
+            n["node_id"].alias("node_id"), n["is_content"].alias("is_content"),
+            s["target"].alias("target"), s["top"].alias("top"),
+        )),
+    )
 
-    own = F.array_append(content_below(container["node_id"], container["end_id"]), container)
-    first = targets(own)
 
-    def widen(steps: Column) -> Column:
-        top = F.array_min(F.transform(steps, lambda s: s["top"]))
-        root = first_where(page["nodes"], lambda n: n["node_id"] == top)
-        wider = let(root, lambda r: targets(
-            F.array_append(content_below(r["node_id"], r["end_id"]), r)
+def _candidates(page: Column, steps: Column, container: Column) -> Column:
+    """Candidate nodes of a container in post-order, each once: where its content
+    nodes and the container lead, and, if one of them leads outside, where the
+    content nodes of that wider part of the page lead."""
+    def below(root: Column) -> Column:
+        return F.filter(steps, lambda s: (s["node_id"] == container["node_id"]) | (
+            s["is_content"] & inside(s["node_id"], root)
         ))
-        return F.when(top < container["node_id"], F.concat(steps, wider)).otherwise(steps)
 
-    found = let(first, widen)
-    kept = F.filter(F.transform(found, lambda s: s["target"]), lambda n: n.isNotNull())
-    shaped = F.transform(kept, lambda n: F.struct(
+    top = F.array_min(F.transform(below(container), lambda s: s["top"]))
+    root = let(
+        F.least(top, container["node_id"]),
+        lambda t: first_where(page["nodes"], lambda n: n["node_id"] == t),
+    )
+    found = F.transform(let(root, below), lambda s: s["target"])
+    shaped = F.transform(F.filter(found, lambda n: n.isNotNull()), lambda n: F.struct(
         n["end_id"].alias("end_id"), (-n["node_id"]).alias("order"),
         n["tag"].alias("tag"),
         F.array_sort(F.transform(n["attrs"], lambda a: F.struct(a["name"], a["values"]))).alias("key"),
@@ -203,15 +208,21 @@ def candidate_lists(dom: Column) -> Column:
             first_where(facts, lambda n: n["tag"] == "body").alias("body"),
         ))
 
-    def lists(p: Column, container: Column) -> Column:
-        return F.when(container.isNotNull(), _admitted(_merged(_candidates(p, container))))
+    def lists(p: Column, steps: Column, containers: Column) -> Column:
+        return F.transform(containers, lambda c: F.when(
+            c.isNotNull(), _admitted(_merged(_candidates(p, steps, c)))
+        ))
 
     def phases(p: Column) -> Column:
         largest = F.struct(*[_largest(p, tag).alias(tag) for tag in CONTENT_TAGS])
-        return let(largest, lambda b: F.struct(
-            lists(p, b["article"]["node"]).alias("first"),
-            lists(p, F.when(b["div"]["count"] > b["article"]["count"], b["div"]["node"])).alias("second"),
+        containers = let(largest, lambda b: F.array(
+            b["article"]["node"],
+            F.when(b["div"]["count"] > b["article"]["count"], b["div"]["node"]),
         ))
+        return let(containers, lambda cs: let(_steps(p, cs), lambda st: let(
+            lists(p, st, cs),
+            lambda ls: F.struct(ls[0].alias("first"), ls[1].alias("second")),
+        )))
 
     return let(let(pruned_roots(nodes), page), phases)
 

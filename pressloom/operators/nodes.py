@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import first_where, nonempty, strip
+from ..functions.columns import first_where, let, nonempty, strip
 from ..functions.similarity import mentions_key
 
 
@@ -174,49 +174,42 @@ def largest_block(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("page_id", "tag").agg(top.alias("b")).select("page_id", "tag", "b.*")
 
 
-def meta_content(nodes: Column, *names: str) -> Column:
-    """Content of the first ``meta`` element with one of the given names."""
-    def value(name: str) -> Column:
-        found = first_where(
-            nodes,
-            lambda n: (n["tag"] == "meta")
-            & F.coalesce(
-                (F.lower(attribute(n, "property")) == name) | (F.lower(attribute(n, "name")) == name),
-                F.lower(attribute(n, "property")) == name,
-                F.lower(attribute(n, "name")) == name,
-                F.lit(False),
-            ),
-        )
-        return nonempty(strip(attribute(found, "content")))
+def meta_entries(nodes: Column) -> Column:
+    """Metadata of a page in document order: ``array<struct<key, value>>``.
 
-    return F.coalesce(*[value(n) for n in names])
+    The key is the property or name of the element in lower case, or ``charset``.
+    """
+    entries = F.transform(
+        F.filter(nodes, lambda n: n["tag"] == "meta"),
+        lambda n: F.struct(
+            F.lower(F.coalesce(
+                attribute(n, "property"), attribute(n, "name"),
+                F.when(has_attribute(n, "charset"), F.lit("charset")),
+            )).alias("key"),
+            strip(F.coalesce(attribute(n, "content"), attribute(n, "charset"))).alias("value"),
+        ),
+    )
+    return F.filter(entries, lambda e: e["key"].isNotNull() & (e["value"] != ""))
 
 
-def page_language(nodes: Column) -> Column:
-    """Language of the page in two letters from ``<html lang>`` or metadata."""
-    declared = nonempty(strip(attribute(first_where(nodes, lambda n: n["tag"] == "html"), "lang")))
-    listed = meta_content(nodes, "lang", "language", "content-language", "og:locale")
-    return F.lower(F.substring(F.coalesce(declared, listed), 1, 2))
+def meta_value(entries: Column, *keys: str) -> Column:
+    """First value of the first of some keys that has one."""
+    return F.coalesce(*[first_where(entries, lambda e: e["key"] == k)["value"] for k in keys])
 
 
 def meta_map(nodes: Column) -> Column:
-    """All metadata of a page: names and properties to content, and ``charset``.
+    """Metadata of a page as a map; the first element of a key counts."""
+    def as_map(entries: Column) -> Column:
+        keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+        return F.map_from_arrays(
+            keys, F.transform(keys, lambda k: first_where(entries, lambda e: e["key"] == k)["value"])
+        )
 
-    The first element of a name counts.
-    """
-    entries = F.filter(
-        F.transform(
-            F.filter(nodes, lambda n: n["tag"] == "meta"),
-            lambda n: F.struct(
-                F.coalesce(
-                    attribute(n, "property"), attribute(n, "name"),
-                    F.when(has_attribute(n, "charset"), F.lit("charset")),
-                ).alias("key"),
-                F.coalesce(attribute(n, "content"), attribute(n, "charset")).alias("value"),
-            ),
-        ),
-        lambda e: e["key"].isNotNull(),
-    )
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    values = F.transform(keys, lambda k: first_where(entries, lambda e: e["key"] == k)["value"])
-    return F.map_from_arrays(keys, values)
+    return let(meta_entries(nodes), as_map)
+
+
+def page_language(nodes: Column, entries: Column) -> Column:
+    """Language of the page in two letters from ``<html lang>`` or metadata."""
+    declared = nonempty(strip(attribute(first_where(nodes, lambda n: n["tag"] == "html"), "lang")))
+    listed = meta_value(entries, "lang", "language", "content-language", "og:locale")
+    return F.lower(F.substring(F.coalesce(declared, listed), 1, 2))
