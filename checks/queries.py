@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pressloom import vocab
 from pressloom.functions import dates, similarity, text, urls
-from pressloom.functions.columns import nonempty, string_array, strip
+from pressloom.functions.columns import nonempty, strip
 from pressloom.operators import author, content, nodes, pubdate, queue, record, sites, title
 from pressloom.operators.dom import parse_html
 from pressloom.operators.joins import new_folder
@@ -362,7 +362,7 @@ def trigram_similarity(spark, folder):
 
 
 def _words(df: DataFrame, column: str, out: str) -> DataFrame:
-    return df.select(F.explode(text.content_tokens(F.col(column), string_array(vocab.STOPWORDS_EN))).alias(out)).distinct()
+    return df.select(F.explode(text.content_tokens(F.col(column), vocab.STOPWORDS_EN)).alias(out)).distinct()
 
 
 @query
@@ -417,10 +417,7 @@ def normalize_text(spark, folder):
 
 @query
 def tokens_no_stopwords(spark, folder):
-    stop = F.when(F.col("lang") == "es", string_array(vocab.stopwords_for("es"))).otherwise(
-        string_array(vocab.stopwords_for("en"))
-    )
-    tokens = text.content_tokens(F.col("text"), stop)
+    tokens = text.tokens_in(F.col("text"), F.col("lang"))
     return table(spark, folder, "documents").select("doc_id", tokens.alias("t")).select(
         "doc_id", F.size("t").cast("long").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("tokens_md5")
     )
@@ -429,13 +426,10 @@ def tokens_no_stopwords(spark, folder):
 @query
 def new_tokens(spark, folder):
     """Tokens of the rest of a document that its first line does not have."""
-    stop = string_array(vocab.STOPWORDS_EN)
-    head = F.regexp_extract("text", r"^([^\n]*)", 1)
-    rest = F.regexp_replace("text", r"^[^\n]*", "")
+    head = text.content_tokens(F.regexp_extract("text", r"^([^\n]*)", 1), vocab.STOPWORDS_EN)
+    rest = text.content_tokens(F.regexp_replace("text", r"^[^\n]*", ""), vocab.STOPWORDS_EN)
     return (
-        table(spark, folder, "documents")
-        .select("doc_id", text.content_tokens(head, stop).alias("h"), text.content_tokens(rest, stop).alias("r"))
-        .select("doc_id", F.filter("r", lambda t: ~F.array_contains(F.col("h"), t)).alias("n"))
+        table(spark, folder, "documents").select("doc_id", text.new_tokens(rest, head).alias("n"))
         .select("doc_id", F.size("n").cast("long").alias("n_new"), F.md5(F.array_join("n", " ")).alias("new_md5"))
     )
 
@@ -552,7 +546,7 @@ def link_density(spark, folder):
 
 @query
 def largest_block(spark, folder):
-    found = nodes.largest_block(nodes.text_blocks(parsed(spark, folder), ["p", "div"]))
+    found = nodes.largest_block(nodes.text_blocks(parsed(spark, folder), ["article", "div"]))
     return found.select("page_id", "tag", F.col("node_id").cast("long").alias("node_id"), "n_strings")
 
 
@@ -589,11 +583,11 @@ def meta_map(spark, folder):
 
 def title_by_pattern(source: DataFrame) -> DataFrame:
     """Title without a parse: tags read by pattern, built-in functions only."""
-    tag = nonempty(strip(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)))
+    tag = nonempty(strip(text.unescape(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1))))
     headings = F.concat(*[
         F.transform(
             F.regexp_extract_all("html", F.lit(rf"(?s)<{h}[^>]*>(.*?)</{h}>"), F.lit(1)),
-            lambda t: strip(F.regexp_replace(t, r"<[^>]*>", " ")),
+            lambda t: strip(text.unescape(F.regexp_replace(t, r"<[^>]*>", " "))),
         )
         for h in vocab.TITLE_TAGS
     ])
@@ -632,9 +626,10 @@ def extract_date(spark, folder):
 @query
 def candidate_lists(spark, folder):
     found = parsed(spark, folder).select("page_id", content.candidate_lists(F.col("dom")).alias("c"))
-    return found.select(
-        "page_id", F.size("c.first").cast("long").alias("n_first"), F.size("c.second").cast("long").alias("n_second")
-    )
+    def count(lists: Column) -> Column:
+        return F.when(lists.isNotNull(), F.size(lists).cast("long"))
+
+    return found.select("page_id", count(F.col("c.first")).alias("n_first"), count(F.col("c.second")).alias("n_second"))
 
 
 @query
@@ -723,5 +718,7 @@ def stream_harvest(spark, folder):
         found, derived.websites(found), out, f"{queue_folder}-checkpoint", as_of,
     )
     run.awaitTermination()
-    return spark.read.parquet(f"{out}/link_status").select("link_id", "status", "error_status")
+    status = spark.read.parquet(f"{out}/link_status").select("link_id", "status", "error_status")
+    entries = found.select(F.col("page_id").alias("link_id"), urls.canonical_url(F.col("url")).alias("article_url"))
+    return status.join(entries, "link_id").drop("link_id")
 

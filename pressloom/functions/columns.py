@@ -37,11 +37,6 @@ def nonempty(text: Column) -> Column:
     return F.when(text != "", text)
 
 
-def string_array(values: list[str]) -> Column:
-    """A literal array of strings (also when it is empty)."""
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
-
-
 def first_where(array: Column, test: Callable[[Column], Column]) -> Column:
     """First element of ``array`` that satisfies ``test``, else null."""
     return F.get(F.filter(array, test), F.lit(0))

@@ -63,8 +63,8 @@ def publish_date(block_date: Column, meta_date: Column, as_of: Column) -> Column
 def is_quiet(ts: Column, for_article: bool = False) -> Column:
     """Whether a time lies strictly inside a quiet window; windows may wrap past
     midnight."""
-    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60
-    micros = seconds * F.lit(1_000_000) + (
+    seconds = (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("long")
+    micros = seconds * 1_000_000 + (
         F.date_part(F.lit("SECOND"), ts) * 1_000_000
     ).cast("long")
     day = 86_400 * 1_000_000

@@ -32,9 +32,8 @@ def padded(value: Column) -> Column:
 
 def trigrams(value: Column) -> Column:
     """All trigrams of a value: padded by two blanks each side, upper case."""
-    positions = F.sequence(F.lit(1), F.length(value) + 2)
     return let(padded(value), lambda p: F.transform(
-        positions, lambda i: F.substring(p, i, F.lit(3))
+        F.sequence(F.lit(1), F.length(p) - 2), lambda i: F.substring(p, i, F.lit(3))
     ))
 
 
@@ -130,15 +129,17 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
     vals = values.select("value").where("value <> ''").distinct().withColumn(
         "value_grams", trigrams(F.col("value"))
     )
-    word_gram = words.select("word", F.explode(F.array_distinct("word_grams")).alias("gram"))
+    word_gram = words.select(
+        "word", F.size("word_grams").alias("n"), F.explode(F.array_distinct("word_grams")).alias("gram")
+    )
     frequency = word_gram.groupBy("gram").agg(F.count("*").alias("freq"))
     ranked = (
         word_gram.join(frequency, "gram")
-        .groupBy("word")
+        .groupBy("word", "n")
         .agg(F.sort_array(F.collect_list(F.struct("freq", "gram"))).alias("ordered"))
-        .select("word", F.size("ordered").alias("distinct_grams"),
+        .select("word", "n", F.size("ordered").alias("distinct_grams"),
                 F.posexplode("ordered").alias("rank", "g"))
-        .select("word", "distinct_grams", "rank", F.col("g.gram").alias("gram"))
+        .select("word", "n", "distinct_grams", "rank", F.col("g.gram").alias("gram"))
     )
     value_gram = (
         vals.select("value", F.explode("value_grams").alias("gram"))
@@ -146,21 +147,23 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
         .groupBy("value").agg(F.max("times").alias("most"), F.collect_list("gram").alias("grams"))
         .select("value", "most", F.explode("grams").alias("gram"))
     )
-    need = F.ceil((F.length("word") + 2) * THRESHOLD / F.lit(100.0) / F.col("most"))
+    need = F.ceil(F.col("n") * THRESHOLD / F.lit(100.0) / F.col("most"))
     candidates = (
         value_gram.join(ranked, "gram")
         .where(F.col("rank") <= F.col("distinct_grams") - need)
         .select("value", "word")
         .distinct()
     )
-    matches = F.size(
-        F.filter(trigrams(F.col("value")), lambda g: F.array_contains(F.col("word_grams"), g))
+    matches = let(
+        F.struct(trigrams(F.col("value")).alias("v"), trigrams(F.col("word")).alias("w")),
+        lambda p: F.struct(
+            F.size(F.filter(p["v"], lambda g: F.array_contains(p["w"], g))).alias("matches"),
+            F.size(p["w"]).alias("size"),
+        ),
     )
     return (
-        candidates.withColumn("word_grams", trigrams(F.col("word")))
-        .select("value", "word", matches.alias("matches"))
-        .withColumn("percent", F.col("matches") * 100.0 / (F.length("word") + 2))
-        .where(F.col("percent") >= THRESHOLD)
-        .select("value", "word", "matches",
-                F.bround("percent", 0).cast("int").alias("similarity"))
+        candidates.withColumn("score", matches)
+        .where(_percent(F.col("score")) >= THRESHOLD)
+        .select("value", "word", F.col("score.matches").alias("matches"),
+                _similarity(F.col("score")).alias("similarity"))
     )

@@ -7,8 +7,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .columns import WHITESPACE_CLASS, string_array, strip
-from ..vocab import INVALID_TITLE_PHRASES, STOPWORDS_EN
+from .columns import WHITESPACE_CLASS, let, strip
+from ..vocab import INVALID_TITLE_PHRASES, STOPWORDS, STOPWORDS_EN, stopwords_for
 
 #: Word tokens and single other characters.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:[-'.][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_\s]"
@@ -65,20 +65,40 @@ def raw_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def content_tokens(text: Column, stopwords: Column) -> Column:
-    """Lower-case word tokens without stopwords and punctuation."""
+def content_tokens(text: Column, stopwords: list[str]) -> Column:
+    """Lower-case word tokens without stopwords and punctuation, in order."""
     return F.filter(
-        raw_tokens(F.lower(text)),
-        lambda t: ~F.array_contains(stopwords, t) & t.rlike(WORD_CHARACTER),
+        raw_tokens(F.lower(text)), lambda t: ~t.isin(stopwords) & t.rlike(WORD_CHARACTER)
     )
 
 
+def tokens_in(text: Column, lang: Column) -> Column:
+    """Content tokens by the stopwords of the language of each row."""
+    tokens = F.when(lang.isNull(), content_tokens(text, STOPWORDS_EN))
+    for name in STOPWORDS:
+        if name != "en":
+            tokens = tokens.when(lang == name, content_tokens(text, stopwords_for(name)))
+    return tokens.otherwise(content_tokens(text, STOPWORDS_EN))
+
+
+def new_tokens(tokens: Column, known: Column) -> Column:
+    """Tokens that are not in ``known``, order and repeats kept."""
+    return let(known, lambda k: F.filter(tokens, lambda t: ~F.array_contains(k, t)))
+
+
+def unescape(text: Column) -> Column:
+    """The predefined character references replaced. For titles read by pattern;
+    parsed pages are unescaped in full."""
+    for name, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(character))
+    return text
+
+
 def author_text(text: Column) -> Column:
     """Byline text without English stopwords and punctuation, case kept."""
-    stop = string_array(STOPWORDS_EN)
     kept = F.filter(
         raw_tokens(text),
-        lambda t: ~F.array_contains(stop, F.lower(t))
+        lambda t: ~F.lower(t).isin(STOPWORDS_EN)
         & (F.instr(F.lit(ASCII_PUNCTUATION), F.lower(t)) == 0),
     )
     return F.array_join(kept, " ")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,11 +49,13 @@ def first_rows(df: DataFrame, key: str, order: str, columns: list[str]) -> DataF
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder of its own for an intermediate table, under the shared folder of
-    ``spark.checkpoint.dir``; on a single machine, where that is not set, under
-    the warehouse directory."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(
-        spark.conf.get("spark.sql.warehouse.dir"), "_staged"
-    )
+    ``spark.checkpoint.dir``. Where that is not set: a temporary folder on a
+    single machine, the warehouse directory on a cluster."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        local = spark.sparkContext.master.startswith("local")
+        base = tempfile.gettempdir() if local else spark.conf.get("spark.sql.warehouse.dir")
+        base = f"{base}/pressloom-staged"
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
