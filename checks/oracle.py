@@ -553,5 +553,5 @@ SELECT page_id, tag, len(regexp_extract_all(head, '<[a-z]')) AS node_id, len(s)
 """
 
 ORACLE["stream_harvest"] = f"""{_HARVEST}
-SELECT DISTINCT article_url, CASE WHEN outcome IN ('Article Scraped', 'Duplicate article') THEN 'Done' ELSE 'Error' END AS status,
+SELECT link_id, CASE WHEN outcome IN ('Article Scraped', 'Duplicate article') THEN 'Done' ELSE 'Error' END AS status,
   error_status FROM reason"""

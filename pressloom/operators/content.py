@@ -258,7 +258,16 @@ class _Words:
         return None if top is None else top[1]
 
     def hit(self, value: str) -> bool:
-        return self.best(value) is not None
+        """Whether any word is similar. Distinct trigrams found by plain search
+        settle most values; repeats are only counted where they could matter."""
+        upper = f"  {value}  ".upper()
+        open_words = False
+        for grams, size in self.words.values():
+            found = sum(g in upper for g in grams)
+            if found * 100 >= THRESHOLD * size:
+                return True
+            open_words = open_words or found > 0
+        return open_words and self.best(value) is not None
 
 
 def _tokens(text: str, stop: frozenset[str]) -> list[str]:
@@ -266,6 +275,18 @@ def _tokens(text: str, stop: frozenset[str]) -> list[str]:
     return [t for t in lowered if t not in stop and _WORD.search(t)]
 
 
+def _few_tokens(text: str, stop: frozenset[str]) -> list[str]:
+    """The tokens of a text, but no more than it takes to see that there are many."""
+    tokens = []
+    for found in _TOKEN.finditer(text):
+        token = found.group().lower()
+        if token not in stop and _WORD.search(token):
+            tokens.append(token)
+            if len(tokens) > SHORT_WORDS:
+                break
+    return tokens
+
+
 def invalid_scores(lists, headline, stop, invalid: _Words) -> list[float]:
     """Share of unrelated strings at the end of each candidate list."""
     match = _Words(headline)
@@ -273,7 +294,7 @@ def invalid_scores(lists, headline, stop, invalid: _Words) -> list[float]:
     for strings in lists:
         negative = 0
         for text in strings:
-            tokens = _tokens(text, stop)
+            tokens = _few_tokens(text, stop)
             if len(tokens) > SHORT_WORDS:
                 negative = 0
                 continue
@@ -311,15 +332,14 @@ def related_strings(strings, headline, stop, invalid: _Words) -> list[str]:
     words = _Words(headline)
     limit = int(GROWTH_SHARE * len(strings))
     kept, grown = [], 0
-    for text in strings:
-        best = words.best(text)
+    for i, text in enumerate(strings):
         if len(text) < SHORT_STRING:
-            bad = invalid.best(text)
+            best, bad = words.best(text), invalid.best(text)
             if best is None or best <= SHORT_MATCH or (bad is not None and bad > SHORT_MATCH):
                 continue
-        if best is None:
+        elif not words.hit(text):
             continue
-        if grown <= limit:
+        if grown <= limit and i + 1 < len(strings):
             words.add(_tokens(text, stop))
             grown += 1
         kept.append(text)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,43 +60,55 @@ def without_invalid(dom: Column) -> Column:
     )
 
 
-def extract(pages: DataFrame, key: str, as_of: Column, js: bool = False) -> DataFrame:
-    """Fields of the article on each page of ``pages(key, html, site_lang)``.
+def _meta_fields(entries: Column, nodes: Column) -> Column:
+    return F.struct(
+        meta_value(entries, "og:title").alias("title"),
+        meta_value(entries, "author").alias("author"),
+        meta_time(entries).alias("published"),
+        meta_value(entries, "og:image").alias("image"),
+        meta_value(entries, "og:video").alias("video"),
+        meta_value(entries, "og:description", "description").alias("text"),
+        page_language(nodes, entries).alias("language"),
+    )
+
 
-    Columns: key, error, article_title, article_authors, article_publish_date,
+@lru_cache(maxsize=4)
+def _page_columns(_gateway) -> tuple[Column, ...]:
+    """What is read from a page, as columns over ``dom`` and ``as_of``.
+
+    The expressions are large and always the same, so they are built once.
+    """
+    dom = F.col("dom")
+    return (
+        dom["error"].alias("error"),
+        let(meta_entries(dom["nodes"]), lambda m: _meta_fields(m, dom["nodes"])).alias("meta"),
+        raw_title(dom).alias("raw_title"),
+        author(dom).alias("author"),
+        block_date(dom, F.col("as_of")).alias("block_date"),
+        candidate_lists(dom).alias("candidates"),
+    )
+
+
+def extract(pages: DataFrame, keys: list[str], as_of: Column, js: bool = False) -> DataFrame:
+    """Fields of the article on each page of ``pages(*keys, html, site_lang)``.
+
+    Columns: the keys, error, article_title, article_authors, article_publish_date,
     article_images, article_videos, article_language, article_content. No
     shuffle: one parse per page, array expressions, one Arrow step for the body.
     """
     parsed = pages.select(
-        key, "site_lang", parse_html(F.col("html"), PAGE_DROP_TAGS).alias("dom")
+        *keys, "site_lang", as_of.alias("as_of"), parse_html(F.col("html"), PAGE_DROP_TAGS).alias("dom")
     )
     if js:
         parsed = parsed.withColumn("dom", without_invalid(F.col("dom")))
-    dom = F.col("dom")
-
-    def meta_fields(entries: Column) -> Column:
-        return F.struct(
-            meta_value(entries, "og:title").alias("title"),
-            meta_value(entries, "author").alias("author"),
-            meta_time(entries).alias("published"),
-            meta_value(entries, "og:image").alias("image"),
-            meta_value(entries, "og:video").alias("video"),
-            meta_value(entries, "og:description", "description").alias("text"),
-            page_language(dom["nodes"], entries).alias("language"),
-        )
-
     fields = parsed.select(
-        key, "site_lang", dom["error"].alias("error"),
-        let(meta_entries(dom["nodes"]), meta_fields).alias("meta"),
-        raw_title(dom).alias("raw_title"),
-        author(dom).alias("author"),
-        block_date(dom, as_of).alias("block_date"),
-        candidate_lists(dom).alias("candidates"),
+        *keys, "site_lang", "as_of", *_page_columns(SparkContext._gateway)
     ).select(
-        key, "site_lang", "error", "candidates",
+        *keys, "site_lang", "error", "candidates",
         F.coalesce(nonempty(F.col("raw_title")), F.col("meta.title")).alias("headline"),
         listed(F.coalesce("author", "meta.author")).alias("article_authors"),
-        publish_date(F.col("block_date"), F.col("meta.published"), as_of).alias("article_publish_date"),
+        publish_date(F.col("block_date"), F.col("meta.published"), F.col("as_of"))
+        .alias("article_publish_date"),
         listed(F.col("meta.image")).alias("article_images"),
         listed(F.col("meta.video")).alias("article_videos"),
         article_language(F.col("meta.language")).alias("article_language"),
@@ -102,7 +117,7 @@ def extract(pages: DataFrame, key: str, as_of: Column, js: bool = False) -> Data
     read = with_content(fields, headline="headline", lang="site_lang", out="body")
     body = F.col("body") if js else F.coalesce(nonempty(F.col("body")), F.col("meta_text"))
     return read.select(
-        key, "error",
+        *keys, "error",
         clean_title(F.col("headline")).alias("article_title"),
         "article_authors", "article_publish_date", "article_images", "article_videos",
         "article_language",

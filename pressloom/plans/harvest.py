@@ -77,13 +77,11 @@ def tally(outcomes: DataFrame) -> DataFrame:
 
 def raw_records(pages: DataFrame, as_of: Column, creator: str = CREATOR, js: bool = False) -> DataFrame:
     """Records of all pages: no eligibility, no duplicate check, nothing stored."""
-    usable = usable_pages(pages)
-    fields = extract(
-        spread(usable.select("page_id", "html"), "page_id").withColumn("site_lang", F.lit("en")),
-        "page_id", as_of, js,
+    source = spread(usable_pages(pages).select("page_id", "url", "html"), "page_id").select(
+        "page_id", canonical_url(F.col("url")).alias("page_url"), "html", F.lit("en").alias("site_lang")
     )
-    urls = usable.select("page_id", canonical_url(F.col("url")).alias("page_url"))
-    return article_rows(fields.join(urls, "page_id"), "page_id", F.col("page_url"), as_of, creator)
+    fields = extract(source, ["page_id", "page_url"], as_of, js)
+    return article_rows(fields, "page_id", F.col("page_url"), as_of, creator)
 
 
 def map_pages(
@@ -141,7 +139,7 @@ def harvest(
     todo = eligible.where("is_stored is null").drop("is_stored")
 
     read = stage(
-        extract(pages_for(todo, pages), "url", as_of, js), "extracted"
+        extract(pages_for(todo, pages), ["url"], as_of, js), "extracted"
     )
     verdict = read.select(
         "url", "error",

@@ -25,12 +25,17 @@ def link_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) ->
 
 
 def first_seen(links: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Links whose canonical URL has not come up within the watermark."""
+    """Links without those delivered again within the watermark.
+
+    Only repeats of the same entry are dropped. Other entries with the same
+    canonical URL stay, because each must get an outcome: the harvest marks them
+    as duplicates, in one batch and across batches.
+    """
     return (
         links.withColumn("canonical_url", canonical_url(F.col("original_url")))
         .withColumn("seen_at", F.col("date_created").cast("timestamp"))
         .withWatermark("seen_at", watermark)
-        .dropDuplicatesWithinWatermark(["canonical_url"])
+        .dropDuplicatesWithinWatermark(["link_id", "canonical_url"])
         .drop("canonical_url", "seen_at")
     )
 
