@@ -12,7 +12,7 @@ from pressloom.functions import dates, similarity, text, urls
 from pressloom.functions.columns import nonempty, strip
 from pressloom.operators import author, content, nodes, pubdate, queue, record, sites, title
 from pressloom.operators.dom import parse_html
-from pressloom.operators.joins import new_folder
+from pressloom.operators.joins import new_folder, spread
 from pressloom.plans import harvest as plan
 from pressloom.plans import register
 from pressloom.sources import derived, store, tables
@@ -44,9 +44,14 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_pages(spark, f"{folder}/pages.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents").select("doc_id", "text", "lang"), "doc_id")
+
+
 def parsed(spark: SparkSession, folder: str, drop=vocab.PAGE_DROP_TAGS) -> DataFrame:
-    spread = tables.spread(pages(spark, folder).select("page_id", "html"), "page_id")
-    return spread.select("page_id", parse_html(F.col("html"), drop).alias("dom"))
+    return spread(pages(spark, folder).select("page_id", "html"), "page_id").select(
+        "page_id", parse_html(F.col("html"), drop).alias("dom")
+    )
 
 
 def bylined(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,8 +77,9 @@ def bylined(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bylined_dom(spark: SparkSession, folder: str) -> DataFrame:
-    spread = tables.spread(bylined(spark, folder).select("page_id", "html"), "page_id")
-    return spread.select("page_id", parse_html(F.col("html"), vocab.PAGE_DROP_TAGS).alias("dom"))
+    return spread(bylined(spark, folder).select("page_id", "html"), "page_id").select(
+        "page_id", parse_html(F.col("html"), vocab.PAGE_DROP_TAGS).alias("dom")
+    )
 
 
 # --- urls and sites -----------------------------------------------------------
@@ -407,18 +413,18 @@ def decode_bytes(spark, folder):
 
 @query
 def transliterate(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", text.transliterate(F.col("text")).alias("text"))
+    return documents(spark, folder).select("doc_id", text.transliterate(F.col("text")).alias("text"))
 
 
 @query
 def normalize_text(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", text.normalize(F.col("text")).alias("text"))
+    return documents(spark, folder).select("doc_id", text.normalize(F.col("text")).alias("text"))
 
 
 @query
 def tokens_no_stopwords(spark, folder):
     tokens = text.tokens_in(F.col("text"), F.col("lang"))
-    return table(spark, folder, "documents").select("doc_id", tokens.alias("t")).select(
+    return documents(spark, folder).select("doc_id", tokens.alias("t")).select(
         "doc_id", F.size("t").cast("long").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("tokens_md5")
     )
 
@@ -429,7 +435,7 @@ def new_tokens(spark, folder):
     head = text.content_tokens(F.regexp_extract("text", r"^([^\n]*)", 1), vocab.STOPWORDS_EN)
     rest = text.content_tokens(F.regexp_replace("text", r"^[^\n]*", ""), vocab.STOPWORDS_EN)
     return (
-        table(spark, folder, "documents").select("doc_id", text.new_tokens(rest, head).alias("n"))
+        documents(spark, folder).select("doc_id", text.new_tokens(rest, head).alias("n"))
         .select("doc_id", F.size("n").cast("long").alias("n_new"), F.md5(F.array_join("n", " ")).alias("new_md5"))
     )
 
@@ -438,7 +444,7 @@ def new_tokens(spark, folder):
 def string_block_quality(spark, folder):
     lines = F.filter(F.transform(F.split("text", "\n"), strip), lambda l: l != "")
     return (
-        table(spark, folder, "documents").select("doc_id", lines.alias("lines"))
+        documents(spark, folder).select("doc_id", lines.alias("lines"))
         .select(
             "doc_id",
             F.size("lines").cast("long").alias("n_lines"),
@@ -459,7 +465,8 @@ def _order_texts(spark, folder) -> DataFrame:
         .when(form == 4, F.concat(F.lit("2099-12-31, then "), F.date_format(day, "yyyy/M/d")))
         .otherwise(F.lit("Order 1234-99-99 has no date"))
     )
-    return table(spark, folder, "orders").select("o_orderkey", day.alias("day"), written.alias("written"))
+    orders = spread(table(spark, folder, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
+    return orders.select("o_orderkey", day.alias("day"), written.alias("written"))
 
 
 @query

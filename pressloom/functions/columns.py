@@ -14,9 +14,6 @@ WHITESPACE = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
-#: The same set as a regular-expression class.
-WHITESPACE_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]"
-
 
 def strip(text: Column) -> Column:
     """Remove white space (Unicode) from both ends."""

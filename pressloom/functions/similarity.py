@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import let
+from ..operators.joins import BROADCAST_BYTES, repartitioned
 
 #: A word counts as similar from this percentage on, before rounding.
 THRESHOLD = 49
@@ -119,51 +120,59 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
     ``ceil(0.49 n)`` occurrences of the word's ``n`` trigrams; a value that
     repeats no trigram more than ``m`` times then shares at least
     ``need = ceil(0.49 n / m)`` distinct ones. So it must share one of the
-    word's rarest ``distinct - need + 1`` trigrams, and the equi-join only
-    runs on those. Candidates are then verified on both trigram arrays, which
-    makes the result exact.
+    word's rarest ``distinct - need + 1`` trigrams, and the equi-join runs on
+    those only: trigrams that most words have rarely take part.
+
+    A pair that meets on several of them is kept where it meets first, so no
+    pair has to be made distinct, and it is verified on both trigram arrays in
+    the same task, which makes the result exact. The dictionary side is broadcast
+    if its trigram table, whose size is computed first, is small enough; else
+    both sides are shuffled by trigram.
     """
     words = dictionary.select("word").where("word <> ''").distinct().withColumn(
-        "word_grams", trigrams(F.col("word"))
-    )
-    vals = values.select("value").where("value <> ''").distinct().withColumn(
-        "value_grams", trigrams(F.col("value"))
-    )
-    word_gram = words.select(
-        "word", F.size("word_grams").alias("n"), F.explode(F.array_distinct("word_grams")).alias("gram")
-    )
+        "grams", trigrams(F.col("word"))
+    ).select("word", F.size("grams").alias("n"), F.array_distinct("grams").alias("grams"))
+    word_gram = words.select("word", "n", F.explode("grams").alias("gram"))
     frequency = word_gram.groupBy("gram").agg(F.count("*").alias("freq"))
-    ranked = (
+    ordered = (
         word_gram.join(frequency, "gram")
         .groupBy("word", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("freq", "gram"))).alias("ordered"))
-        .select("word", "n", F.size("ordered").alias("distinct_grams"),
-                F.posexplode("ordered").alias("rank", "g"))
-        .select("word", "n", "distinct_grams", "rank", F.col("g.gram").alias("gram"))
-    )
-    value_gram = (
-        vals.select("value", F.explode("value_grams").alias("gram"))
-        .groupBy("value", "gram").agg(F.count("*").alias("times"))
-        .groupBy("value").agg(F.max("times").alias("most"), F.collect_list("gram").alias("grams"))
-        .select("value", "most", F.explode("grams").alias("gram"))
-    )
-    need = F.ceil(F.col("n") * THRESHOLD / F.lit(100.0) / F.col("most"))
-    candidates = (
-        value_gram.join(ranked, "gram")
-        .where(F.col("rank") <= F.col("distinct_grams") - need)
-        .select("value", "word")
-        .distinct()
+        .agg(F.sort_array(F.collect_list(F.struct("freq", "gram"))).alias("g"))
+        .select("word", "n", F.transform("g", lambda g: g["gram"]).alias("word_grams"))
     )
-    matches = let(
-        F.struct(trigrams(F.col("value")).alias("v"), trigrams(F.col("word")).alias("w")),
-        lambda p: F.struct(
-            F.size(F.filter(p["v"], lambda g: F.array_contains(p["w"], g))).alias("matches"),
-            F.size(p["w"]).alias("size"),
-        ),
-    )
-    return (
-        candidates.withColumn("score", matches)
-        .where(_percent(F.col("score")) >= THRESHOLD)
-        .select("value", "word", F.col("score.matches").alias("matches"),
-                _similarity(F.col("score")).alias("similarity"))
+    ranked = ordered.select("word", "n", "word_grams", F.posexplode("word_grams").alias("rank", "gram"))
+    # Each value grows into many pairs, so small partitions are not merged here.
+    shaped = repartitioned(values.select("value").where("value <> ''").distinct(), "value").withColumn(
+        "value_grams", trigrams(F.col("value"))
+    ).withColumn("distinct_grams", F.array_distinct("value_grams"))
+    vals = shaped.select(
+        "value", "value_grams", "distinct_grams",
+        # No trigram can occur more often than this.
+        (F.size("value_grams") - F.size("distinct_grams") + 1).alias("most"),
+        F.explode("distinct_grams").alias("gram"),
     )
+    width = F.length("word") + 2
+    bytes_needed = words.agg(F.sum(width * (width * 20 + 100))).first()[0] or 0
+
+    def pairs(some_values: DataFrame, most: Column, matches: Column) -> DataFrame:
+        side = F.broadcast(ranked) if bytes_needed <= BROADCAST_BYTES else ranked
+        need = F.ceil(F.col("n") * THRESHOLD / F.lit(100.0) / most)
+        meets_earlier = F.arrays_overlap(F.slice("word_grams", F.lit(1), F.col("rank")), "distinct_grams")
+        # Cheap test first: a conjunction may be evaluated in any order, this is not.
+        met = F.when(F.col("rank") <= F.size("word_grams") - need, ~meets_earlier)
+        percent = F.col("matches") * F.lit(100.0) / F.col("n")
+        return (
+            some_values.join(side, "gram")
+            .where(F.coalesce(met, F.lit(False)))
+            .select("value", "word", "n", matches.alias("matches"))
+            .where(percent >= THRESHOLD)
+            .select("value", "word", "matches", F.bround(percent, 0).cast("int").alias("similarity"))
+        )
+
+    # Few values repeat a trigram; only for those must occurrences be counted.
+    return pairs(
+        vals.where("most = 1"), F.lit(1), F.size(F.array_intersect("distinct_grams", "word_grams"))
+    ).unionByName(pairs(
+        vals.where("most > 1"), F.col("most"),
+        F.size(F.filter("value_grams", lambda g: F.array_contains(F.col("word_grams"), g))),
+    ))

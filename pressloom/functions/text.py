@@ -7,7 +7,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .columns import WHITESPACE_CLASS, let, strip
+from .columns import WHITESPACE, let, strip
 from ..vocab import INVALID_TITLE_PHRASES, STOPWORDS, STOPWORDS_EN, stopwords_for
 
 #: Word tokens and single other characters.
@@ -56,8 +56,8 @@ def transliterate_literal(text: str) -> str:
 
 def normalize(text: Column) -> Column:
     """Body text on one line: right quotes removed, white space collapsed."""
-    collapsed = F.regexp_replace(F.replace(text, F.lit("’"), F.lit("")), WHITESPACE_CLASS + "+", " ")
-    return transliterate(F.trim(collapsed))
+    blanks = F.translate(F.replace(text, F.lit("’"), F.lit("")), WHITESPACE, " " * len(WHITESPACE))
+    return transliterate(F.trim(F.regexp_replace(blanks, " {2,}", " ")))
 
 
 def raw_tokens(text: Column) -> Column:

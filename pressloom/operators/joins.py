@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: Largest planned size of a side that is sent to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
+#: Input bytes per core below which a table has too few splits.
+SMALL_SPLIT = 8 * 1024 * 1024
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -39,6 +41,25 @@ def lookup(
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Divide a table too small for one input split per core among all cores.
+
+    Meant before work that is heavy per row. Larger tables are left alone, so no
+    more than ``SMALL_SPLIT`` bytes per core are ever shuffled for it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if planned_bytes(df) < cores * SMALL_SPLIT else df
+
+
+def repartitioned(df: DataFrame, key: str) -> DataFrame:
+    """Divide a table by a key into the session's number of shuffle partitions,
+    which adaptive execution then leaves as they are. For small rows that each
+    cause much work."""
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(partitions, spark.sparkContext.defaultParallelism), key)
+
+
 def first_rows(df: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
     """One row per key, the one with the lowest ``order``: a combined aggregate
     rather than a window, so a hot key is reduced before the shuffle."""

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import canonical_url, site_identity
-from ..operators.joins import lookup, stage
+from ..operators.joins import lookup, spread, stage
 from ..operators.record import article_rows, extract
 from ..operators.sites import check_sites, site_language
-from ..sources.tables import spread, usable_pages
+from ..sources.tables import usable_pages
 from ..vocab import (
     DONE, ERROR, JS_ERROR_CREATOR, OUTCOME_DUPLICATE, OUTCOME_ERROR, OUTCOME_NO_CONTENT,
     OUTCOME_NO_TITLE, OUTCOME_NOT_ELIGIBLE, OUTCOME_SCRAPED,

@@ -5,14 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import planned_bytes
 from ..schemas import DOMAIN_LIST, PAGES
 from ..vocab import KEYWORD_DICTIONARIES, LAZY_SITES, REMOVE_SITES, STOPWORDS
 
-#: Input bytes per core below which a table has too few splits.
-SMALL_SPLIT = 8 * 1024 * 1024
-
-
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Usable pages of a Parquet table: with URL and source."""
     return usable_pages(spark.read.schema(PAGES).parquet(path))
@@ -36,16 +31,6 @@ def decode_page(body: Column, charset: Column | None = None) -> Column:
     )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Divide a table too small for one input split per core among all cores.
-
-    Meant before a Python step. Larger tables are left alone, so no more than
-    ``SMALL_SPLIT`` bytes per core are ever shuffled for it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if planned_bytes(df) < cores * SMALL_SPLIT else df
-
-
 def read_domain_list(spark: SparkSession, path: str, field: str) -> DataFrame:
     """Domain list from a JSON file ``{field: [{name, domain}, ...]}``."""
     entry = "array<struct<name: string, domain: string>>"
