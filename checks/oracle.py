@@ -552,6 +552,22 @@ WITH b AS (SELECT page_id, 'article' AS tag, split_part({BARE}, '<article>', 1)
 SELECT page_id, tag, len(regexp_extract_all(head, '<[a-z]')) AS node_id, len(s) AS n_strings FROM b
 """
 
-ORACLE["stream_harvest"] = f"""{_HARVEST}
+_STORED = f"article_url IN (SELECT {CANON} FROM pages WHERE page_id % 6 = 0) AS is_stored"
+assert _STORED in _HARVEST
+
+#: The stream starts with an empty store.
+ORACLE["stream_harvest"] = f"""{_HARVEST.replace(_STORED, "false AS is_stored")}
 SELECT link_id, CASE WHEN outcome IN ('Article Scraped', 'Duplicate article') THEN 'Done' ELSE 'Error' END AS status,
   error_status FROM reason"""
+
+#: Stored articles are read again whether or not others have the same URL.
+ORACLE["stored_article_reread"] = f"""
+WITH {SITE}, {_OVERLAP}, {_CONTENT},
+firsts AS (SELECT {CANON} AS article_url, min(page_id) AS page_id FROM pages GROUP BY 1),
+entry AS (SELECT p.page_id AS link_id, c.title, c.content,
+  coalesce(w.country IN ('Philippines', 'Singapore') AND NOT w.is_aggregator AND s.fqdn <> 'philstar.com', false) AS ok
+  FROM pages p JOIN firsts f ON f.article_url = {CANON.replace('url', 'p.url')} JOIN content c ON c.page_id = f.page_id
+  JOIN site s ON s.page_id = p.page_id LEFT JOIN websites w ON w.fqdn = s.fqdn WHERE p.page_id % 6 = 0)
+SELECT link_id, CASE WHEN NOT ok THEN 'Website not for scraping' WHEN coalesce(content, '') = '' THEN 'No Content'
+  WHEN coalesce(title, '') = '' THEN 'No Title' ELSE 'Article Scraped' END AS outcome FROM entry
+"""

@@ -41,9 +41,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages with their source, for work on the markup."""
     return tables.read_pages(spark, f"{folder}/pages.parquet")
 
 
+def crawl(spark: SparkSession, folder: str) -> DataFrame:
+    """The page table for work on URLs; its source column stays unread."""
+    return tables.read_urls(spark, f"{folder}/pages.parquet")
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "documents").select("doc_id", "text", "lang"), "doc_id")
 
@@ -87,7 +93,7 @@ def bylined_dom(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def canonical_url(spark, folder):
-    return pages(spark, folder).select("page_id", urls.canonical_url(F.col("url")).alias("canonical_url"))
+    return crawl(spark, folder).select("page_id", urls.canonical_url(F.col("url")).alias("canonical_url"))
 
 
 @query
@@ -103,31 +109,31 @@ def media_url_clean(spark, folder):
 
 @query
 def netloc(spark, folder):
-    return pages(spark, folder).select("page_id", urls.authority(F.col("url")).alias("netloc"))
+    return crawl(spark, folder).select("page_id", urls.authority(F.col("url")).alias("netloc"))
 
 
 @query
 def site_identity(spark, folder):
-    return derived.site_pages(pages(spark, folder))
+    return derived.site_pages(crawl(spark, folder))
 
 
 @query
 def site_identity_suffix_table(spark, folder):
     suffixes = spark.createDataFrame([(s,) for s in SUFFIXES], "suffix string")
-    found = urls.site_identity_with(pages(spark, folder).select("page_id", "url"), "url", suffixes)
+    found = urls.site_identity_with(crawl(spark, folder).select("page_id", "url"), "url", suffixes)
     return found.select("page_id", "site.*")
 
 
 @query
 def site_name_disambiguation(spark, folder):
-    found = register.site_candidates(pages(spark, folder))
+    found = register.site_candidates(crawl(spark, folder))
     named = sites.disambiguate(found, found.where(F.lit(False)))
     return named.select("candidate_id", "fqdn", "website_name")
 
 
 def _known_sites(spark, folder) -> DataFrame:
     """Registry of half the sites: own names, some with an outdated fqdn."""
-    return derived.websites(pages(spark, folder)).where("website_id % 2 = 0").select(
+    return derived.websites(crawl(spark, folder)).where("website_id % 2 = 0").select(
         "website_id",
         F.concat(F.lit("Site "), F.col("website_id")).alias("website_name"),
         "website_url",
@@ -137,7 +143,7 @@ def _known_sites(spark, folder) -> DataFrame:
 
 @query
 def site_reconciliation(spark, folder):
-    found = register.site_candidates(pages(spark, folder))
+    found = register.site_candidates(crawl(spark, folder))
     return sites.reconcile(found, _known_sites(spark, folder)).select(
         "candidate_id", "fqdn", "existing_id", "action"
     )
@@ -146,7 +152,7 @@ def site_reconciliation(spark, folder):
 @query
 def site_registry_insert(spark, folder):
     inserts, _ = register.register_sites(
-        pages(spark, folder), _known_sites(spark, folder), as_of(), plan.CREATOR
+        crawl(spark, folder), _known_sites(spark, folder), as_of(), plan.CREATOR
     )
     return inserts.select(
         "website_id", "website_name", "website_icon_url", "website_url", "website_cost",
@@ -157,14 +163,14 @@ def site_registry_insert(spark, folder):
 @query
 def site_registry_fixes(spark, folder):
     _, fixes = register.register_sites(
-        pages(spark, folder), _known_sites(spark, folder), as_of(), plan.CREATOR
+        crawl(spark, folder), _known_sites(spark, folder), as_of(), plan.CREATOR
     )
     return fixes
 
 
 @query
 def site_eligibility(spark, folder):
-    found = pages(spark, folder)
+    found = crawl(spark, folder)
     links = derived.site_pages(found).select(F.col("page_id").alias("link_id"), "fqdn")
     return sites.check_sites(links, derived.websites(found), "link_id").select(
         "link_id", "fqdn", "website_id", "is_eligible",
@@ -176,7 +182,7 @@ def site_eligibility(spark, folder):
 def lazy_site_flag(spark, folder):
     listed = sites.listed_domains(tables.domain_lists(spark), "lazy-sites") + LAZY_HOSTS
     host = urls.authority(F.col("url"))
-    return pages(spark, folder).select(
+    return crawl(spark, folder).select(
         "page_id", host.alias("netloc"), sites.matches_list(host, listed).alias("is_lazy")
     )
 
@@ -184,7 +190,7 @@ def lazy_site_flag(spark, folder):
 @query
 def blocklist_anti(spark, folder):
     listed = sites.listed_domains(tables.domain_lists(spark), "remove-sites") + BLOCKED_HOSTS
-    return pages(spark, folder).where(
+    return crawl(spark, folder).where(
         ~sites.matches_list(urls.authority(F.col("url")), listed)
     ).select("page_id", "url")
 
@@ -203,7 +209,7 @@ def country_type(spark, folder):
 
 @query
 def country_override(spark, folder):
-    registry = derived.websites(pages(spark, folder))
+    registry = derived.websites(crawl(spark, folder))
     given = F.expr("case when website_id % 4 = 0 then 'Japan' end")
     code = F.expr("case when website_id % 4 = 0 then 'JPN' end")
     known = F.expr("case when website_id % 5 <> 0 then country end")
@@ -220,7 +226,7 @@ def country_override(spark, folder):
 
 @query
 def media_value_input(spark, folder):
-    found = pages(spark, folder)
+    found = crawl(spark, folder)
     articles = derived.site_pages(found).select("page_id", "fqdn").join(
         found.select("page_id", F.expr("case when page_id % 3 <> 0 then url end").alias("text")), "page_id"
     ).withColumn("images", F.when(F.col("page_id") % 2 == 0, F.array("text"))).withColumn(
@@ -238,7 +244,7 @@ def media_value_input(spark, folder):
 
 @query
 def url_duplicates(spark, folder):
-    found = pages(spark, folder)
+    found = crawl(spark, folder)
     links = derived.links(found).where("original_url is not null").select(
         "link_id", urls.canonical_url(F.col("original_url")).alias("article_url")
     )
@@ -247,7 +253,7 @@ def url_duplicates(spark, folder):
 
 @query
 def new_articles(spark, folder):
-    found = pages(spark, folder)
+    found = crawl(spark, folder)
     new = found.select("page_id", urls.canonical_url(F.col("url")).alias("article_url"))
     return store.unique_inserts(new, derived.stored_articles(found), "article_url", "page_id")
 
@@ -255,41 +261,41 @@ def new_articles(spark, folder):
 @query
 def find_links(spark, folder):
     return store.find(
-        derived.links(pages(spark, folder)), queue.link_queue_query(js=True), limit=None
+        derived.links(crawl(spark, folder)), queue.link_queue_query(js=True), limit=None
     ).select("link_id", "original_url", "status", "created_by")
 
 
 @query
 def get_one_link(spark, folder):
-    return store.get_one(derived.links(pages(spark, folder)), "link_id", 42).select("link_id", "original_url")
+    return store.get_one(derived.links(crawl(spark, folder)), "link_id", 42).select("link_id", "original_url")
 
 
 @query
 def get_one_website(spark, folder):
-    return store.get_one(derived.websites(pages(spark, folder)), "fqdn", "cheap-pills.example.com").select(
+    return store.get_one(derived.websites(crawl(spark, folder)), "fqdn", "cheap-pills.example.com").select(
         "website_id", "fqdn", "country"
     )
 
 
 @query
 def count_links(spark, folder):
-    return store.counts(derived.links(pages(spark, folder)), {"status": "Error"})
+    return store.counts(derived.links(crawl(spark, folder)), {"status": "Error"})
 
 
 @query
 def count_websites(spark, folder):
-    return store.counts(derived.websites(pages(spark, folder)), {"country": "Atlantis"}, null_for_none=True)
+    return store.counts(derived.websites(crawl(spark, folder)), {"country": "Atlantis"}, null_for_none=True)
 
 
 @query
 def queue_count_by_mode(spark, folder):
-    found = pages(spark, folder)
+    found = crawl(spark, folder)
     return queue.queued_counts(derived.links(found), derived.stored_articles(found))
 
 
 @query
 def queue_view(spark, folder):
-    found = pages(spark, folder)
+    found = crawl(spark, folder)
     return queue.link_view(derived.links(found)).withColumn("mode", F.lit("link")).unionByName(
         queue.article_view(derived.stored_articles(found)).withColumn("mode", F.lit("article"))
     )
@@ -297,30 +303,30 @@ def queue_view(spark, folder):
 
 @query
 def claim_newest(spark, folder):
-    batch = queue.claim_newest(derived.stored_articles(pages(spark, folder)), 20)
+    batch = queue.claim_newest(derived.stored_articles(crawl(spark, folder)), 20)
     return queue.claimed(batch, "h1", "article_status").select("article_id", "article_url", "article_status")
 
 
 @query
 def split_batches(spark, folder):
-    links = derived.links(pages(spark, folder)).select("link_id")
+    links = derived.links(crawl(spark, folder)).select("link_id")
     return queue.even_split(links, "link_id", 7).select("link_id", F.col("part").cast("long").alias("part"))
 
 
 @query
 def shuffle_queue(spark, folder):
-    return queue.shuffled(derived.links(pages(spark, folder)).select("link_id"), "link_id", 7)
+    return queue.shuffled(derived.links(crawl(spark, folder)).select("link_id"), "link_id", 7)
 
 
 @query
 def requeue_stale(spark, folder):
-    links = derived.links(pages(spark, folder))
+    links = derived.links(crawl(spark, folder))
     return queue.requeued(links, queue.stale_link_query("h1"), "link_id", "status").select("link_id", "status")
 
 
 @query
 def patch_update(spark, folder):
-    articles = derived.stored_articles(pages(spark, folder)).withColumns({
+    articles = derived.stored_articles(crawl(spark, folder)).withColumns({
         "date_updated": F.col("date_created"), "updated_by": F.lit(None).cast("string"),
     })
     patches = articles.where("article_id % 4 = 0").select(
@@ -336,7 +342,7 @@ def patch_update(spark, folder):
 
 @query
 def latest_status(spark, folder):
-    log = derived.links(pages(spark, folder)).select("link_id", "status", F.lit(1).alias("version"))
+    log = derived.links(crawl(spark, folder)).select("link_id", "status", F.lit(1).alias("version"))
     log = log.unionByName(
         log.where("link_id % 3 = 0").select("link_id", F.lit("Done").alias("status"), F.lit(2).alias("version"))
     )
@@ -358,7 +364,7 @@ def quiet_hours(spark, folder):
 @query
 def trigram_similarity(spark, folder):
     label = F.explode(F.split(urls.host(F.col("url")), "[.-]"))
-    values = pages(spark, folder).select(label.alias("value")).distinct()
+    values = crawl(spark, folder).select(label.alias("value")).distinct()
     words = vocab.CONTENT_KEYS + vocab.AUTHOR_KEYS + vocab.DATE_KEYS + ["example", "pills", "other"]
     hits = values.select("value", F.posexplode(similarity.similar_words(F.col("value"), words)).alias("rank", "h"))
     return hits.select(
@@ -384,7 +390,7 @@ def trigram_similarity_join(spark, folder):
 @query
 def content_type_html(spark, folder):
     kind = F.col("content_type")
-    return derived.fetch_log(pages(spark, folder)).select(
+    return derived.fetch_log(crawl(spark, folder)).select(
         "page_id",
         F.when(kind.isNotNull(), F.coalesce(
             similarity.top_similarity(kind, vocab.HTML_CONTENT_TYPE) >= 50, F.lit(False)
@@ -395,7 +401,7 @@ def content_type_html(spark, folder):
 @query
 def fetch_status_class(spark, folder):
     status = F.coalesce("status_code", F.lit(vocab.MISSING_RESPONSE_STATUS))
-    return derived.fetch_log(pages(spark, folder)).select(
+    return derived.fetch_log(crawl(spark, folder)).select(
         "page_id",
         F.when(status.isin(*vocab.ERROR_STATUS_CODES), F.lit("Error")).otherwise(F.lit("OK")).alias("fetch"),
     )
@@ -671,7 +677,7 @@ def rendered_record(spark, folder):
 
 
 def _harvest(spark, folder, js=False) -> plan.Harvest:
-    found = pages(spark, folder)
+    found = crawl(spark, folder)
     return plan.harvest(
         derived.open_links(found), found, derived.websites(found), derived.stored_articles(found),
         as_of(), js=js,
@@ -703,6 +709,21 @@ def link_status_updates(spark, folder):
     )
 
 
+@query
+def stored_article_reread(spark, folder):
+    """Harvest of stored articles: their own URLs, no duplicate check."""
+    found = crawl(spark, folder)
+    entries = queue.article_view(derived.stored_articles(found)).select(
+        F.col("id").alias("link_id"), F.col("url").alias("original_url")
+    )
+    by_own_url = found.withColumn("url", urls.canonical_url(F.col("url")))
+    again = plan.harvest(
+        entries, by_own_url, derived.websites(found), derived.stored_articles(found), as_of(),
+        check_duplicates=False,
+    )
+    return again.outcomes.select("link_id", "outcome")
+
+
 @query
 def mapped_pages(spark, folder):
     """A function of the caller run over the pages in batches."""
@@ -716,7 +737,7 @@ def mapped_pages(spark, folder):
 @query
 def stream_harvest(spark, folder):
     """Outcomes of the queue read as a stream of files."""
-    found = pages(spark, folder)
+    found = crawl(spark, folder)
     queue_folder = new_folder(spark, "links")
     derived.open_links(found).write.parquet(queue_folder)
     out = f"{queue_folder}-out"

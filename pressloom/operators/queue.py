@@ -70,7 +70,12 @@ def shuffled(batch: DataFrame, id_column: str, seed: int) -> DataFrame:
     return batch.orderBy(F.xxhash64(F.col(id_column), F.lit(seed)), id_column)
 
 
-def even_split(df: DataFrame, key: str, parts: int, slices: int = 64) -> DataFrame:
+#: Rows ranked by one task, and the most slices a table is ranked in.
+SLICE_ROWS = 1_000_000
+MAX_SLICES = 512
+
+
+def even_split(df: DataFrame, key: str, parts: int, slices: int | None = None) -> DataFrame:
     """Number the rows by a unique numeric key and split them evenly: the parts
     differ by one row at most and the first ones get the extra rows.
 
@@ -78,6 +83,8 @@ def even_split(df: DataFrame, key: str, parts: int, slices: int = 64) -> DataFra
     ``slices`` approximate quantiles, rows are ranked inside a slice, and the
     slice sizes (``slices`` numbers on the driver) give each rank its offset.
     """
+    if slices is None:
+        slices = min(MAX_SLICES, max(8, df.count() // SLICE_ROWS))
     shares = [i / slices for i in range(1, slices)]
     cuts = sorted(set(df.select(F.percentile_approx(key, shares, 10_000)).first()[0] or []))
     slice_of = F.size(F.filter(F.lit(cuts), lambda c: c < F.col(key))) if cuts else F.lit(0)

@@ -93,22 +93,26 @@ def map_pages(
 
 def pages_for(entries: DataFrame, pages: DataFrame) -> DataFrame:
     """Source of each distinct URL wanted; the page with the lowest id where a URL
-    was crawled more than once. Entries with the same URL share one page."""
+    was crawled more than once. Entries with the same URL share one page.
+
+    The page is chosen on URL and id alone, so that the source column is read
+    once, and only where it is joined.
+    """
     wanted = entries.select("url", "site_lang").distinct()
-    numbered = usable_pages(pages).select("url", "page_id")
     chosen = (
-        lookup(numbered, wanted.select("url").distinct(), "url", "left_semi", "page_id")
+        lookup(pages.select("url", "page_id"), wanted.select("url").distinct(), "url", "left_semi", "page_id")
         .groupBy("url").agg(F.min("page_id").alias("page_id"))
         .join(wanted, "url")
     )
-    return lookup(spread(pages.select("page_id", "html"), "page_id"), chosen, "page_id", "inner")
+    source = pages.select("page_id", "html").where("html is not null and html <> ''")
+    return lookup(spread(source, "page_id"), chosen, "page_id", "inner")
 
 
 def harvest(
     links: DataFrame, pages: DataFrame, websites: DataFrame, articles: DataFrame,
     as_of: Column, creator: str = CREATOR, js: bool = False, check_duplicates: bool = True,
 ) -> Harvest:
-    """Harvest a batch of ``links(link_id, original_url)``.
+    """Harvest a batch of ``links(link_id, original_url)`` against the page table.
 
     Cheap tests come first: eligibility, then the duplicate check, and only the
     pages that are left are parsed. Entries with one canonical URL behave as if
@@ -125,18 +129,19 @@ def harvest(
         "link_id", "url", "article_url", "is_eligible",
         (site_language(F.col("country")) if js else F.lit("en")).alias("site_lang"),
     )
-    eligible = checked.where("is_eligible").drop("is_eligible")
     if check_duplicates:
         stored = (
-            eligible.select("article_url").distinct()
+            entries.select("article_url").distinct()
             .join(articles.select("article_url"), "article_url", "left_semi")
             .withColumn("is_stored", F.lit(True))
         )
-        eligible = lookup(eligible, stored, "article_url", "left", "link_id")
+        checked = lookup(checked, stored, "article_url", "left", "link_id")
     else:
-        eligible = eligible.withColumn("is_stored", F.lit(None).cast("boolean"))
-    eligible = stage(eligible, "entries")
-    todo = eligible.where("is_stored is null").drop("is_stored")
+        checked = checked.withColumn("is_stored", F.lit(None).cast("boolean"))
+    checked = stage(checked, "entries")
+    todo = checked.where("is_eligible and is_stored is null").select(
+        "link_id", "url", "article_url", "site_lang"
+    )
 
     read = stage(
         extract(pages_for(todo, pages), ["url"], as_of, js), "extracted"
@@ -172,7 +177,7 @@ def harvest(
 
     every = (
         plain(checked.where("not is_eligible"), OUTCOME_NOT_ELIGIBLE)
-        .unionByName(plain(eligible.where("is_stored"), OUTCOME_DUPLICATE))
+        .unionByName(plain(checked.where("is_eligible and is_stored"), OUTCOME_DUPLICATE))
         .unionByName(judged)
     )
     outcomes = every.select(

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from ..schemas import DOMAIN_LIST, PAGES
 from ..vocab import KEYWORD_DICTIONARIES, LAZY_SITES, REMOVE_SITES, STOPWORDS
 
+def read_urls(spark: SparkSession, path: str) -> DataFrame:
+    """The page table for work on its URLs: the source column is there, but no
+    filter touches it, so it is only read where it is selected."""
+    return spark.read.schema(PAGES).parquet(path).where("url is not null and url <> ''")
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Usable pages of a Parquet table: with URL and source."""
     return usable_pages(spark.read.schema(PAGES).parquet(path))

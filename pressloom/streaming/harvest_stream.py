@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.urls import canonical_url
+from ..operators.joins import stage
 from ..plans.harvest import CREATOR, harvest
 from ..schemas import ARTICLES, LINKS
 from ..sources.store import append_articles
@@ -65,8 +66,12 @@ def start_harvest(
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         now = as_of()
+        # The batch is read from its source, and its state updated, only once.
+        entries = stage(batch.select("link_id", "original_url"), "batch")
+        if entries.isEmpty():
+            return
         result = harvest(
-            batch, pages, websites, stored_before(spark, f"{out}/articles", batch_id), now, creator, js
+            entries, pages, websites, stored_before(spark, f"{out}/articles", batch_id), now, creator, js
         )
         append_articles(result.articles, f"{out}/articles", batch_id)
         updates = result.link_updates(now, js)
