@@ -12,7 +12,7 @@ from pressloom.functions import dates, similarity, text, urls
 from pressloom.functions.columns import nonempty, strip
 from pressloom.operators import author, content, nodes, pubdate, queue, record, sites, title
 from pressloom.operators.dom import parse_html
-from pressloom.operators.joins import new_folder, spread
+from pressloom.operators.joins import new_folder, spread, stage
 from pressloom.plans import harvest as plan
 from pressloom.plans import register
 from pressloom.sources import derived, store, tables
@@ -126,7 +126,7 @@ def site_identity_suffix_table(spark, folder):
 
 @query
 def site_name_disambiguation(spark, folder):
-    found = register.site_candidates(crawl(spark, folder))
+    found = stage(register.site_candidates(crawl(spark, folder)), "candidates")
     named = sites.disambiguate(found, found.where(F.lit(False)))
     return named.select("candidate_id", "fqdn", "website_name")
 

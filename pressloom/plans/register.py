@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dom import parse_html
-from ..operators.joins import lookup
+from ..operators.joins import lookup, stage
 from ..operators.sites import disambiguate, icon_url, new_site_rows, reconcile
 from ..sources.derived import sites
 
@@ -32,8 +32,13 @@ def with_icons(candidates: DataFrame, pages: DataFrame) -> DataFrame:
 def register_sites(
     pages: DataFrame, websites: DataFrame, as_of: Column, creator: str
 ) -> tuple[DataFrame, DataFrame]:
-    """New registry rows, and fqdn corrections ``(website_id, fqdn)`` of known sites."""
-    decided = reconcile(site_candidates(pages), websites)
+    """New registry rows, and fqdn corrections ``(website_id, fqdn)`` of known sites.
+
+    The candidates are staged, since naming refers to them several times and the
+    page table should be read for them once.
+    """
+    candidates = stage(site_candidates(pages), "candidates")
+    decided = stage(reconcile(candidates, websites), "decided")
     new = decided.where("action = 'INSERT'").drop("existing_id", "action")
     inserts = new_site_rows(with_icons(disambiguate(new, websites), pages), as_of, creator)
     fixes = decided.where("action = 'UPDATE_FQDN'").groupBy("existing_id").agg(
