@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .joins import first_rows, lookup
 from .nodes import attribute
-from ..functions.columns import first_where, nonempty
+from ..functions.columns import first_where, let, nonempty
 from ..functions.urls import media_url
 from ..vocab import (
     ELIGIBLE_COUNTRIES, EXCLUDED_FQDNS, FOREIGN_SITE_TYPE, LOCAL_COUNTRY, LOCAL_SITE_TYPE,
@@ -98,9 +98,11 @@ def icon_url(nodes: Column, website_url: Column) -> Column:
             n["attrs"], lambda a: (a["name"] == "rel") & F.array_contains(a["values"], "icon")
         ),
     )
-    clean = media_url(nonempty(attribute(link, "href")))
+    def on_site(icon: Column) -> Column:
+        return F.when(icon.startswith("/"), F.concat(website_url, icon)).otherwise(icon)
+
     return F.coalesce(
-        F.when(clean.startswith("/"), F.concat(website_url, clean)).otherwise(clean),
+        let(media_url(nonempty(attribute(link, "href"))), on_site),
         F.concat(website_url, F.lit("/favicon.ico")),
     )
 
