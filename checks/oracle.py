@@ -574,16 +574,16 @@ SELECT link_id, CASE WHEN NOT ok THEN 'Website not for scraping' WHEN coalesce(c
 
 #: The pages with a byline and a date written into the article.
 _BYLINED = f"""
-{_BY}, pages AS (SELECT p.page_id, p.url, replace(p.html, '<article>', '<article>' || CASE form
+{_BY}, bylined AS (SELECT p.page_id, p.url, replace(p.html, '<article>', '<article>' || CASE form
   WHEN 0 THEN '<span class="cse_author">By ' || name || ' Cruz</span><time class="entry-date">' || strftime(day, '%B %-d, %Y') || '</time>'
   WHEN 1 THEN '<div class="comments"><span class="author">Nobody</span></div><p class="byline">' || name
     || ', <b>Santos</b></p><span id="pubdate">Posted ' || strftime(day, '%Y-%m-%d') || '</span>'
   WHEN 2 THEN '<a rel="author" href="/x">' || name || '</a><p class="template">' || strftime(day, '%-d %b %Y') || '</p>'
   ELSE '<div id="a-very-long-author-marker">Nobody</div><time class="date">2099-01-01</time>' END) AS html
-  FROM main.pages p JOIN who USING (page_id))
+  FROM pages p JOIN who USING (page_id))
 """
 ORACLE["rendered_record"] = f"""
-WITH {_BYLINED.replace('FROM pages)', 'FROM main.pages)')}, {_OVERLAP}, {_CONTENT},
+WITH {_BYLINED}, {_OVERLAP.replace('FROM pages)', 'FROM bylined)')}, {_CONTENT},
 by_author AS ({ORACLE['extract_author'].split(_BY)[1]}), by_date AS ({ORACLE['extract_date'].split(_BY)[1]})
 SELECT c.page_id AS article_id, c.title AS article_title, coalesce(a.author, '') AS authors,
   coalesce(d.published, '{AS_OF[:10]}') AS published, length(nullif(c.content, '')) AS n_chars
