@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import let
-from ..operators.joins import BROADCAST_BYTES, repartitioned
+from ..operators.joins import BROADCAST_BYTES, repartitioned, stage
 
 #: A word counts as similar from this percentage on, before rounding.
 THRESHOLD = 49
@@ -129,9 +129,12 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
     if its trigram table, whose size is computed first, is small enough; else
     both sides are shuffled by trigram.
     """
-    words = dictionary.select("word").where("word <> ''").distinct().withColumn(
-        "grams", trigrams(F.col("word"))
-    ).select("word", F.size("grams").alias("n"), F.array_distinct("grams").alias("grams"))
+    # Both inputs are used several times and may be costly to compute.
+    known = stage(dictionary.select("word").where("word <> ''").distinct(), "words")
+    distinct_values = stage(values.select("value").where("value <> ''").distinct(), "values")
+    words = known.withColumn("grams", trigrams(F.col("word"))).select(
+        "word", F.size("grams").alias("n"), F.array_distinct("grams").alias("grams")
+    )
     word_gram = words.select("word", "n", F.explode("grams").alias("gram"))
     frequency = word_gram.groupBy("gram").agg(F.count("*").alias("freq"))
     ordered = (
@@ -142,7 +145,7 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
     ranked = ordered.select("word", "n", "word_grams", F.posexplode("word_grams").alias("rank", "gram"))
     # Each value grows into many pairs, so small partitions are not merged here.
-    shaped = repartitioned(values.select("value").where("value <> ''").distinct(), "value").withColumn(
+    shaped = repartitioned(distinct_values, "value").withColumn(
         "value_grams", trigrams(F.col("value"))
     ).withColumn("distinct_grams", F.array_distinct("value_grams"))
     vals = shaped.select(
@@ -152,7 +155,7 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.explode("distinct_grams").alias("gram"),
     )
     width = F.length("word") + 2
-    bytes_needed = words.agg(F.sum(width * (width * 20 + 100))).first()[0] or 0
+    bytes_needed = known.agg(F.sum(width * (width * 20 + 100))).first()[0] or 0
 
     def pairs(some_values: DataFrame, most: Column, matches: Column) -> DataFrame:
         side = F.broadcast(ranked) if bytes_needed <= BROADCAST_BYTES else ranked

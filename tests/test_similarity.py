@@ -68,7 +68,9 @@ def test_trigram_count_is_length_plus_two(values):
     assert got == [len(w) + 2 for w in words]
 
 
-def test_join_equals_brute_force(spark):
+@pytest.mark.parametrize("limit", [S.BROADCAST_BYTES, -1])
+def test_join_equals_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(S, "BROADCAST_BYTES", limit)
     rng = random.Random(7)
     alphabet = ["th", "er", "an", "on", "s", "ß", "a"]
     def make(n):
