@@ -403,7 +403,7 @@ SELECT page_id, len(regexp_extract_all({_CUT}, '<[a-z]')) AS n_nodes,
 def unescaped(text: str) -> str:
     for name, character in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("#x27", "''"),
                             ("copy", "©"), ("middot", "·"), ("amp", "&")):
-        text = f"replace({text}, '&{name};', '{character}')"
+        text = f"regexp_replace({text}, '&{name};?', '{character}', 'g')"
     return text
 
 

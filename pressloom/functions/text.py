@@ -87,10 +87,10 @@ def new_tokens(tokens: Column, known: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """The predefined character references replaced. For titles read by pattern;
-    parsed pages are unescaped in full."""
-    for name, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(name), F.lit(character))
+    """The predefined character references replaced, also without semicolon. For
+    titles read by pattern; parsed pages are unescaped in full."""
+    for name, character in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("amp", "&")):
+        text = F.regexp_replace(text, f"&{name};?", character)
     return text
 
 
