@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -69,15 +70,19 @@ def first_rows(df: DataFrame, key: str, order: str, columns: list[str]) -> DataF
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own for an intermediate table, under the shared folder of
-    ``spark.checkpoint.dir``. Where that is not set: a temporary folder on a
-    single machine, the warehouse directory on a cluster."""
+    """A folder of its own for an intermediate table, under the shared folder that
+    ``spark.checkpoint.dir`` names. Only a session on one machine may leave it
+    unset and gets a temporary folder. The folder goes when the driver ends."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        local = spark.sparkContext.master.startswith("local")
-        base = tempfile.gettempdir() if local else spark.conf.get("spark.sql.warehouse.dir")
-        base = f"{base}/pressloom-staged"
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="pressloom-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
