@@ -69,13 +69,12 @@ def source_targets(
     stopped = prefix_sums(weighed, [], ["__stop", "__rank"], "source_size", "__size_before")
     stopped = prefix_sums(stopped, [], ["__stop", "__rank"], "__weight", "__weight_before")
     whole = weighed.agg(
-        F.coalesce(F.sum("source_size"), F.lit(0)).alias("__all"), F.sum("__weight").alias("__weights")
-    )
-    level = (F.col("__all") - cap * F.col("__size_before")) / (F.col("__weights") - F.col("__weight_before"))
-    levels = stopped.crossJoin(F.broadcast(whole)).withColumn("__level", level)
-    found = levels.filter(F.col("__level") <= F.col("__stop")).agg(F.max("__level").alias("__level"))
-    target = F.least((cap * F.col("source_size")).cast("double"), F.col("__level") * F.col("__weight"))
-    return weighed.crossJoin(F.broadcast(found)).select(
+        F.coalesce(F.sum("source_size"), F.lit(0)).alias("sizes"), F.sum("__weight").alias("weights")
+    ).first()
+    level = (whole.sizes - cap * F.col("__size_before")) / (F.lit(whole.weights) - F.col("__weight_before"))
+    found = stopped.withColumn("__level", level).filter(F.col("__level") <= F.col("__stop")).agg(F.max("__level").alias("level")).first()
+    target = F.least((cap * F.col("source_size")).cast("double"), F.lit(found.level) * F.col("__weight"))
+    return weighed.select(
         "source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target")
     )
 
