@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import mix, quality
+from pressloom.llm import decontaminate, mix, near, pii, quality
 from pressloom.operators.joins import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,6 +18,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judged(docs, chain, "__verdict").filter("__verdict.kept").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every class of near duplicates."""
+    return near.first_of_class(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their personal data masked."""
+    return pii.masked(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with their size and the words taken."""
     return mix.mixed_documents(docs)
@@ -25,6 +40,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal data", personal_data),
     ("source mix", source_mix),
 ]
 

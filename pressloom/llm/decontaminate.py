@@ -23,7 +23,8 @@ RANK, EXTRA = 96, 16
 #: Words of the items searched for in one pass over the corpus.
 BLOCK_WORDS = 1_000_000
 LEAST_COSINE = 0.45
-#: An item is found where this share of it stands in order (near verbatim) ...
+#: An item is found where this share of it, by inverse frequency, stands in order (near
+#: verbatim) ...
 VERBATIM = 0.75
 #: ... or this share, if this share of its answer does too (paraphrase).
 PARAPHRASE, ANSWER = 0.5, 0.75
@@ -194,6 +195,23 @@ def common_subsequence(item: list[bytes], region: list[bytes]) -> int:
     return len(item) - row.bit_count()
 
 
+def common_share(item: list[bytes], region: list[bytes], worth: np.ndarray) -> float:
+    """Share of an item's worth in the worthiest common subsequence with a region. A few
+    frequent words stand in order nearly everywhere, and weigh little."""
+    where: dict[bytes, list[int]] = {}
+    for i, w in enumerate(item):
+        where.setdefault(w, []).append(i)
+    best = np.zeros(len(item) + 1)
+    for w in region:
+        at = where.get(w)
+        if at:
+            reached = best[1:].copy()
+            for i in at:
+                reached[i] = max(reached[i], best[i] + worth[i])
+            best[1:] = np.maximum.accumulate(reached)
+    return float(best[-1] / worth.sum())
+
+
 def findings(text: str | None, items: Items) -> Iterator[tuple[int, float, float, float]]:
     """(item, share in order, share of the answer, cosine) of each item a text holds."""
     words = terms(text)
@@ -215,9 +233,11 @@ def findings(text: str | None, items: Items) -> Iterator[tuple[int, float, float
                 merged.append([start, end, cosine])
         for start, end, cosine in merged:
             region = words[int(start):int(end)]
-            share = common_subsequence(items.words[k], region) / len(items.words[k])
-            answer = common_subsequence(items.answers[k], region) / len(items.answers[k])
-            best = max(best, (share, answer, cosine))
+            if common_subsequence(items.words[k], region) >= PARAPHRASE * len(items.words[k]):
+                worth = items.idf[buckets(items.words[k])]
+                share = common_share(items.words[k], region, worth)
+                answer = common_share(items.answers[k], region, worth[-len(items.answers[k]):])
+                best = max(best, (share, answer, cosine))
         if best[0] >= VERBATIM or (best[0] >= PARAPHRASE and best[1] >= ANSWER):
             yield items.ids[k], *best
 
