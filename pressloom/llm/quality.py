@@ -139,37 +139,41 @@ def read_page(text: str | None) -> Page:
     return Page(n, word_chars, n_symbols, sum(repeated), int(again.sum()), per_line, features)
 
 
-def _pack(features: list[np.ndarray], labels: list[np.ndarray], span: int) -> tuple[np.ndarray, ...]:
+def _pack(
+    features: list[np.ndarray], labels: list[np.ndarray], worth: list[float], span: int
+) -> tuple[np.ndarray, ...]:
     """Sequences cut into pieces of at most ``span`` lines and padded to that length."""
-    xs, ys = [], []
-    for x, y in zip(features, labels):
+    xs, ys, ws = [], [], []
+    for x, y, w in zip(features, labels, worth):
         for at in range(0, len(x), span):
             xs.append(x[at:at + span])
             ys.append(y[at:at + span])
+            ws.append(w)
     x = np.zeros((len(xs), span, len(FEATURES)))
     y = np.zeros((len(xs), span), np.int64)
     here = np.zeros((len(xs), span), bool)
     for i, (a, b) in enumerate(zip(xs, ys)):
         x[i, :len(a)], y[i, :len(a)], here[i, :len(a)] = a, b, True
-    return x, y, here
+    return x, y, here, np.array(ws)
 
 
 def fit_chain(
-    features: list[np.ndarray], labels: list[np.ndarray], rounds: int = 150, rate: float = 0.1,
+    features: list[np.ndarray], labels: list[np.ndarray], worth: list[float] | None = None, rounds: int = 150, rate: float = 0.1,
     penalty: float = 1e-3, move_penalty: float = 0.5, span: int = 48,
 ) -> Chain:
-    """Maximise the penalised conditional likelihood of labelled sequences of lines:
+    """Maximise the penalised conditional likelihood of labelled sequences of lines, each
+    counted ``worth`` times:
     forward-backward sums give the gradient, taken in ``rounds`` Adam steps.
 
     Labels that come from whole documents hardly ever change between lines, so they
     say too much about the steps: ``move_penalty`` keeps those small, or one repeated
     line would draw a whole text to its side."""
-    x, y, here = _pack(features, labels, span)
+    x, y, here, worth = _pack(features, labels, worth or [1.0] * len(features), span)
     shrink = np.repeat([penalty, move_penalty], [len(FEATURES), 4])
-    n, pairs = here.sum(), here[:, 1:] & here[:, :-1]
+    n, pairs = (here.sum(1) * worth).sum(), here[:, 1:] & here[:, :-1]
     theta = np.zeros(len(FEATURES) + 4)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
-    seen_moves = np.array([[(pairs & (y[:, :-1] == a) & (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
+    seen_moves = np.array([[((pairs & (y[:, :-1] == a) & (y[:, 1:] == b)).sum(1) * worth).sum() for b in (0, 1)] for a in (0, 1)])
     for step in range(1, rounds + 1):
         weights, moves = theta[:-4], theta[-4:].reshape(2, 2)
         emit = np.stack([np.zeros(x.shape[:2]), x @ weights], 2)
@@ -183,11 +187,11 @@ def fit_chain(
             behind[:, t] = np.where(here[:, t + 1, None], back, 0)
         whole = np.logaddexp.reduce(ahead[:, -1], axis=1)
         chance = np.exp(np.minimum(0, ahead[..., 1] + behind[..., 1] - whole[:, None])) * here
-        gap = (y * here - chance)[..., None] * x
+        gap = (y * here - chance)[..., None] * x * worth[:, None, None]
         joint = np.exp(np.minimum(0, (
             ahead[:, :-1, :, None] + moves + (emit[:, 1:] + behind[:, 1:])[:, :, None, :]
             - whole[:, None, None, None]
-        ))) * pairs[..., None, None]
+        ))) * (pairs * worth[:, None])[..., None, None]
         slope = np.concatenate([gap.sum((0, 1)), (seen_moves - joint.sum((0, 1))).ravel()]) / n - shrink * theta
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope * slope
@@ -234,7 +238,9 @@ def train(
         weights = np.zeros(len(FEATURES))
         weights[0] = 1.0
         return Chain(weights, np.zeros((2, 2)))
-    return fit_chain(xs, ys)
+    # Both qualities count as much as all their lines would if there were as many.
+    lines = {q: sum(len(x) for r, x in zip(rows, xs) if r.quality == q) for q in (0, 1)}
+    return fit_chain(xs, ys, [sum(lines.values()) / 2 / lines[r.quality] for r in rows])
 
 
 def judge(text: Column, chain: Chain, least_content: float = 0.5) -> Column:
