@@ -19,9 +19,9 @@ from .words import hash_words
 BUCKETS = 1 << 18
 _SHIFT = np.uint64(46)
 PASSAGE, STRIDE = 32, 16
-RANK, EXTRA = 96, 16
+RANK, EXTRA = 384, 16
 #: Words of the items searched for in one pass over the corpus.
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 100_000
 LEAST_COSINE = 0.45
 #: An item is found where this share of it, by inverse frequency, stands in order (near
 #: verbatim) ...
@@ -137,20 +137,20 @@ class Items:
     points: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
+        """``points`` are the items' unit passages b in the space, over the squared share
+        of b that the space holds: their product with a passage estimates the cosine
+        in the full space, and is it where the space is complete."""
         owner, points = [], []
         for k, words in enumerate(self.words):
             own = buckets(words)
             for at in passages(len(own)):
+                ids, tf = np.unique(own[at:at + PASSAGE], return_counts=True)
+                row = tf * self.idf[ids]
+                point = (row / max(np.linalg.norm(row), 1e-12)) @ self.vectors[self.place[ids]]
                 owner.append(k)
-                points.append(self.point(own[at:at + PASSAGE]))
+                points.append(point / max(float(point @ point), 1e-12))
         self.owner = np.array(owner, np.int64)
-        self.points = np.stack(points) if points else np.empty((0, self.vectors.shape[1]), np.float32)
-
-    def point(self, own: np.ndarray) -> np.ndarray:
-        at = self.place[own]
-        known = at >= 0
-        sums = self.idf[own[known]] @ self.vectors[at[known]]
-        return sums / max(float(np.linalg.norm(sums)), 1e-12)
+        self.points = np.stack(points).astype(np.float32) if points else np.empty((0, self.vectors.shape[1]), np.float32)
 
     def near(self, own: np.ndarray) -> Iterator[tuple[int, int, float]]:
         """(passage, item, cosine) of a text's passages that come near an item.
@@ -159,15 +159,21 @@ class Items:
         items has a smaller cosine with each of them already in the full space.
         """
         starts = passages(len(own))
-        weight = self.idf[own] ** 2
-        known = np.where(self.place[own] >= 0, weight, 0)
-        ends = np.minimum(starts + PASSAGE, len(own))
-        sums = [np.append(0, np.cumsum(x, dtype=np.float64)) for x in (known, weight)]
-        inside, whole = (s[ends] - s[starts] for s in sums)
-        for at in starts[inside >= LEAST_COSINE ** 2 * whole]:
-            cosine = self.points @ self.point(own[at:at + PASSAGE])
-            for k in np.flatnonzero(cosine >= LEAST_COSINE):
-                yield int(at), int(self.owner[k]), float(cosine[k])
+        weight = np.append(self.idf[own], np.zeros(PASSAGE, np.float32))
+        place = np.append(self.place[own], np.full(PASSAGE, -1, np.int32))
+        known = np.where(place >= 0, weight, 0)
+        inside, whole = (
+            (s := np.append(0, np.cumsum(x * x, dtype=np.float64)))[starts + PASSAGE] - s[starts] for x in (known, weight)
+        )
+        chosen = inside >= LEAST_COSINE ** 2 * whole
+        starts, whole = starts[chosen], np.sqrt(whole[chosen])
+        for first in range(0, len(starts), 64):
+            some = starts[first:first + 64]
+            at = some[:, None] + np.arange(PASSAGE)
+            sums = np.einsum("pw,pwr->pr", known[at], self.vectors[place[at]], optimize=True)
+            cosine = sums @ self.points.T / whole[first:first + 64, None]
+            for i, k in zip(*np.nonzero(cosine >= LEAST_COSINE)):
+                yield int(some[i]), int(self.owner[k]), float(min(1.0, cosine[i, k]))
 
 
 def answer_of(text: str) -> list[bytes]:
