@@ -19,20 +19,23 @@ BANDS = 32
 ROWS = 6
 SLOTS = BANDS * ROWS
 LEAST = 0.8
-#: Estimates below this are no candidates in the second search: four standard
+#: Estimates below this are not compared in the second search: four standard
 #: deviations under ``LEAST`` for ``SLOTS`` slots.
 LEAST_ESTIMATE = LEAST - 4 * (LEAST * (1 - LEAST) / SLOTS) ** 0.5
-#: Partners of one hub, members of one comparison, and rows of one side of it.
-PER_HUB, PER_CHUNK, PER_BLOCK = 512, 4096, 1024
+#: Partners of one hub; members and searching members of one comparison.
+PER_HUB, PER_CHUNK, PER_BLOCK = 512, 512, 1024
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct shingles of five words, ascending, and how often each
-    occurs. A text of fewer words is one shingle; one without words has none."""
+    """Hashes of the distinct shingles of five words, ascending, and their weights: one
+    plus the log of how often each occurs, so that a phrase said a thousand times is
+    not most of a text. A text of fewer words is one shingle; one without words has
+    none."""
     words = split_words(text)
     hashes = window_hashes(hash_words(words), min(SHINGLE, len(words))) if words else np.empty(0, np.uint64)
-    return np.unique(hashes, return_counts=True)
+    items, counts = np.unique(hashes, return_counts=True)
+    return items, 1 + np.log(counts)
 
 
 def sketch(items: np.ndarray, weights: np.ndarray, slots: int = SLOTS) -> np.ndarray:
@@ -75,8 +78,8 @@ def bands(winner: np.ndarray) -> np.ndarray:
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
-    """Jaccard similarity of the shingle sets, and probability Jaccard similarity with
-    the counts as weights."""
+    """Jaccard similarity of the shingle sets, and probability Jaccard similarity of
+    the weighted ones."""
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     if not len(common):
         return 0.0, 0.0
@@ -85,7 +88,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
         return plain, plain
     # For an element d of both: 1 / sum over all e of max(a_e / a_d, b_e / b_d). With
     # the elements in order of a_e / b_e, b decides before d and a after it.
-    x, y = a[1][i].astype(float), b[1][j].astype(float)
+    x, y = a[1][i], b[1][j]
     order = np.argsort(x / y, kind="stable")
     x, y = x[order], y[order]
     ahead = np.cumsum(y)
@@ -196,40 +199,54 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
-def _candidates(group: pa.Table, partners: int, least: float) -> tuple[list[int], list[int], bool]:
-    """Pairs of one comparison: each searching row with its likeliest partners in every
-    other component, at most ``partners`` of one component; whether there are more."""
-    node, comp = group["node"].to_numpy(), group["comp"].to_numpy()
-    marks = np.frombuffer(b"".join(group["marks"].to_pylist()), "<u2").reshape(len(node), -1)
-    seeks = np.flatnonzero(group["seeks"].to_numpy(zero_copy_only=False))
-    there = np.flatnonzero(group["there"].to_numpy(zero_copy_only=False))
-    left, right, more = [], [], False
-    for i in seeks:
-        others = there[comp[there] != comp[i]]
-        share = (marks[others] == marks[i]).mean(1)
-        order = np.flatnonzero(share >= least)
-        order = order[np.lexsort((node[others[order]], -share[order]))]
-        taken: dict[int, int] = {}
-        for j in others[order]:
-            taken[comp[j]] = taken.get(comp[j], 0) + 1
-            if taken[comp[j]] <= partners:
-                left.append(min(node[i], node[j]))
-                right.append(max(node[i], node[j]))
-            else:
-                more = True
-    return left, right, more
-
-
-def remaining_pairs(members: DataFrame, labels: DataFrame, marks: DataFrame, partners: int) -> DataFrame:
-    """Pairs (a, b, more) that may still join components which meet in a bucket.
-
-    ``members`` is (bucket, node, hub). Hubs have been compared with all of their
-    bucket. Of the rest, members outside the bucket's largest component search all
-    other members by their slots; a large bucket is divided into blocks of searching
-    rows and chunks of the others, which meet once each.
+def _joining_links(group: pa.Table, least: float) -> Iterator[tuple[int, int]]:
+    """Links of one comparison that join two components.
+
+    Every searching row meets all rows of other components that are likely enough by
+    their slots, the likeliest first; components joined on the way need no second link.
+    A pair counts in the first band it shares, and two searching rows once.
+    """
+    node, comp = group["node"].to_pylist(), group["comp"].to_pylist()
+    marks = np.frombuffer(b"".join(group["marks"].to_pylist()), "<u2").reshape(len(node), BANDS, ROWS)
+    seeks, outside = (group[c].to_numpy(zero_copy_only=False) for c in ("seeks", "outside"))
+    there = np.flatnonzero(~seeks)
+    band = group["band"][0].as_py()
+    joined: dict[int, int] = {}
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def root(c: int) -> int:
+        while joined.get(c, c) != c:
+            c = joined[c]
+        return c
+
+    def profile(i: int) -> tuple[np.ndarray, np.ndarray]:
+        if node[i] not in known:
+            known[node[i]] = shingles(group["text"][i].as_py())
+        return known[node[i]]
+
+    for i in np.flatnonzero(seeks).tolist():
+        same = marks[there] == marks[i]
+        share = same.mean((1, 2))
+        likely = (share >= least) & (same.all(2).argmax(1) == band)
+        for k in np.argsort(-share, kind="stable").tolist():
+            j = int(there[k])
+            if likely[k] and not (outside[j] and node[j] <= node[i]) and root(comp[i]) != root(comp[j]):
+                if max(similarity(profile(i), profile(j))) >= LEAST:
+                    joined[root(comp[j])] = root(comp[i])
+                    yield min(node[i], node[j]), max(node[i], node[j])
+
+
+def remaining_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, least: float = LEAST_ESTIMATE) -> DataFrame:
+    """Verified links (a, b) that still join components which meet in a bucket.
+
+    ``members`` is (bucket, band, node, hub), ``nodes`` (node, marks, text). Hubs have
+    been compared with all of their bucket. Of the rest, members outside the bucket's
+    largest component search all other members; a large bucket is divided into blocks
+    of searching rows and chunks of the others, which meet once each. Nothing but links
+    leaves a comparison, at most one for every component it joins.
     """
-    known = members.filter("node != hub").select("bucket", "node").join(labels, "node", "left").select(
-        "bucket", "node", F.coalesce("comp", "node").alias("comp")
+    known = members.filter("node != hub").select("bucket", "band", "node").join(labels, "node", "left").select(
+        "bucket", "band", "node", F.coalesce("comp", "node").alias("comp")
     )
     sizes = known.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     split = sizes.groupBy("bucket").agg(
@@ -239,45 +256,37 @@ def remaining_pairs(members: DataFrame, labels: DataFrame, marks: DataFrame, par
         "bucket", "main", F.ceil(F.col("n") / PER_CHUNK).cast("int").alias("chunks"),
         F.ceil((F.col("n") - F.col("most")) / PER_BLOCK).cast("int").alias("blocks"),
     )
-    rows = known.join(split, "bucket").join(marks, "node")
-    own_chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    own_block = F.pmod(F.xxhash64(F.lit(1), "node"), F.col("blocks")).cast("int")
-    seeking = rows.filter("comp != main").withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    ).select("bucket", own_block.alias("block"), "chunk", "node", "comp", "marks",
-             F.lit(True).alias("seeks"), F.lit(False).alias("there"))
-    others = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", "block", own_chunk.alias("chunk"), "node", "comp", "marks",
-        F.lit(False).alias("seeks"), F.lit(True).alias("there"))
+    rows = known.join(split, "bucket").withColumn("outside", F.col("comp") != F.col("main"))
+    columns = ["bucket", "band", "block", "chunk", "node", "comp", "seeks", "outside"]
+    seeking = rows.filter("outside").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("blocks")).cast("int")).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("seeks", F.lit(True))
+    others = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("seeks", F.lit(False))
     keys = ["bucket", "block", "chunk"]
-    dealt = seeking.unionByName(others).repartition(*keys).sortWithinPartitions(*keys)
-    least = LEAST_ESTIMATE
+    dealt = seeking.select(*columns).unionByName(others.select(*columns)).join(nodes, "node").select(*columns, "marks", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _runs(batches, keys):
-            left, right, more = _candidates(group, partners, least)
-            if left:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.array([more] * len(left))],
-                    ["a", "b", "more"])
+            links = list(_joining_links(group, least))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
 
-    found = dealt.mapInArrow(run, "a long, b long, more boolean")
-    return found.groupBy("a", "b").agg(F.max("more").alias("more"))
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Class of every document: (doc_id, class_id, copy_of), one row per input row.
 
     Documents are linked if the Jaccard similarity of their sets of five-word shingles,
-    or the probability Jaccard similarity with counts as weights, is 0.8 or more;
+    or the probability Jaccard similarity of the weighted shingles, is 0.8 or more;
     ``class_id`` is the least doc_id a document is connected with. ``copy_of`` is the
     least doc_id with the same words. Documents of the same words are one node from the
     start, so a group of copies costs one row whatever its size.
 
     In every bucket of a band all members are compared with its least one (its hub).
-    Buckets whose other members still lie in several components are searched again by
-    their slots, with growing numbers of partners, until nothing is left to compare. A
-    pair at 0.8 shares none of the bands with a chance of 6e-5.
+    In buckets whose other members still lie in several components, every pair across
+    components is compared unless its slots put it four standard deviations below 0.8.
+    A pair at 0.8 shares none of the bands with a chance of 6e-5.
 
     Null texts and texts without words are alone in their class. Rows without doc_id
     get null classes. Rows that share a doc_id are one document: they get one class.
@@ -290,7 +299,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .filter("__rank = 1").drop("__rank"), "nodes",
     )
     drawn = drawn.select("doc_id", "f1", "f2")
-    banded = nodes.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("node"))
+    banded = nodes.select(F.posexplode("bands").alias("band", "bucket"), F.col("doc_id").alias("node"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("__last")).filter("hub < __last")
     members = stage(banded.join(shared.drop("__last"), "bucket"), "members")
     chosen = members.select("node").distinct()
@@ -302,26 +311,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         members.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), texts
     ), "links")
     labels = components(links)
-    marks = nodes.select(F.col("doc_id").alias("node"), "marks")
-    tested, partners = None, 8
-    while True:
-        pairs = remaining_pairs(members, labels, marks, partners)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        state = pairs.agg(F.count(F.lit(1)).alias("n"), F.max("more").alias("more")).first()
-        if not state.n:
-            break
-        found = stage(verified(pairs.select("a", "b"), texts), "links")
-        fresh = found.limit(1).count()
-        links = links.unionByName(found)
-        if fresh:
-            labels = components(links)
-        if not state.more:
-            break
-        done = pairs.select("a", "b")
-        tested = done if tested is None else tested.unionByName(done)
-        partners *= 8
+    marks = nodes.select(F.col("doc_id").alias("node"), "marks").dropDuplicates(["node"])
+    found = stage(remaining_links(members, labels, marks.join(texts, "node")), "links")
+    if found.limit(1).count():
+        labels = components(links.unionByName(found))
     classes = nodes.select("f1", "f2", F.col("doc_id").alias("copy_of")).join(
         labels.withColumnRenamed("node", "copy_of"), "copy_of", "left"
     )

@@ -12,7 +12,7 @@ def brute_j_p(a, b):
 
 def weighted(pairs):
     keys = np.array(sorted(pairs), np.uint64)
-    return keys, np.array([pairs[int(k)] for k in keys])
+    return keys, np.array([float(pairs[int(k)]) for k in keys])
 
 
 def test_similarity_matches_the_definition():
@@ -74,18 +74,31 @@ def test_classes_match_all_pairs(spark, docs, folder):
     assert got == classes(rows)
 
 
-def test_members_that_fail_with_the_hub_still_meet(spark):
-    """The least of a bucket is like nobody; the others are copies of each other."""
-    rng = np.random.default_rng(6)
-    marks = rng.integers(0, 2 ** 16, 192).astype("<u2")
-    far = rng.integers(0, 2 ** 16, 192).astype("<u2")
-    members = spark.createDataFrame([(1, n, 10) for n in (10, 11, 12, 13)], "bucket long, node long, hub long")
+def test_members_that_fail_with_the_hub_still_meet(spark, monkeypatch):
+    """The least of a bucket is like nobody; the others are like one another."""
+    base = [f"w{i}" for i in range(60)]
+    texts = {10: " ".join(f"x{i}" for i in range(60))}
+    for n in range(11, 31):
+        texts[n] = " ".join([*base, f"own{n}"])
+    for n in range(31, 41):
+        texts[n] = " ".join(f"far{n}_{i}" for i in range(50))
+    won = {n: near.sketch(*near.shingles(t)) for n, t in texts.items()}
+    buckets = {}
+    for n, w in won.items():
+        for band, key in enumerate(near.bands(w).tolist()):
+            buckets.setdefault((key, band), []).append(n)
+    rows = [(key, band, n, 10) for (key, band), own in buckets.items() if len(own) > 1 for n in [10, *own]]
+    members = spark.createDataFrame(rows, "bucket long, band int, node long, hub long")
     labels = spark.createDataFrame([(12, 11), (11, 11)], "node long, comp long")
-    table = spark.createDataFrame([(10, far.tobytes()), *[(n, marks.tobytes()) for n in (11, 12, 13)]], "node long, marks binary")
-    pairs = {(r.a, r.b) for r in near.remaining_pairs(members, labels, table, 8).collect()}
-    assert pairs == {(11, 13), (12, 13)}
-    one = {(r.a, r.b, r.more) for r in near.remaining_pairs(members, labels, table, 1).collect()}
-    assert len(one) == 1 and all(more for *_, more in one)
+    nodes = spark.createDataFrame(
+        [(n, bytearray((w & np.uint64(0xFFFF)).astype("<u2").tobytes()), texts[n]) for n, w in won.items()],
+        "node long, marks binary, text string")
+    for chunk, block in ((512, 1024), (4, 3)):
+        monkeypatch.setattr(near, "PER_CHUNK", chunk)
+        monkeypatch.setattr(near, "PER_BLOCK", block)
+        links = near.remaining_links(members, labels, nodes)
+        joined = near.components(links.unionByName(spark.createDataFrame([(11, 12)], "a long, b long")))
+        assert {r.node: r.comp for r in joined.collect()} == {n: 11 for n in range(11, 31)}
 
 
 def test_components_of_a_long_chain(spark):
