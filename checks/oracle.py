@@ -256,7 +256,7 @@ ORACLE["shuffle_queue"] = "SELECT page_id AS link_id FROM pages"
 
 ORACLE["requeue_stale"] = f"""
 WITH {QUEUE} SELECT link_id, 'Queued' AS status FROM links
-WHERE status = 'Processing@h1' AND created_by = 'System' ORDER BY link_id LIMIT {vocab.REQUEUE_CAP}
+WHERE status = 'Processing@h1' AND created_by = 'System'
 """
 
 ORACLE["patch_update"] = f"""
@@ -535,7 +535,7 @@ FROM reason WHERE outcome = 'Article Scraped'"""
 ORACLE["outcome_tally"] = f"{_HARVEST} SELECT outcome, count(*) AS n FROM reason GROUP BY outcome"
 ORACLE["link_status_updates"] = f"""{_HARVEST}
 SELECT link_id, CASE WHEN outcome = 'Article Scraped' THEN 'Done' ELSE 'Error' END AS status, error_status,
-  CASE WHEN outcome <> 'Article Scraped' THEN 'JS_Error' END AS created_by FROM reason"""
+  CASE WHEN outcome NOT IN ('Article Scraped', 'No Content', 'No Title') THEN 'JS_Error' END AS created_by FROM reason"""
 
 ORACLE["mapped_pages"] = "SELECT page_id, length(html) AS n_chars FROM pages"
 
@@ -555,10 +555,11 @@ SELECT page_id, tag, len(regexp_extract_all(head, '<[a-z]')) AS node_id, len(s)
 _STORED = f"article_url IN (SELECT {CANON} FROM pages WHERE page_id % 6 = 0) AS is_stored"
 assert _STORED in _HARVEST
 
-#: The stream starts with an empty store.
+#: The stream starts with an empty store. Requeued links are read again, with the same
+#: states: what was stored at first is a duplicate then.
 ORACLE["stream_harvest"] = f"""{_HARVEST.replace(_STORED, "false AS is_stored")}
 SELECT link_id, CASE WHEN outcome IN ('Article Scraped', 'Duplicate article') THEN 'Done' ELSE 'Error' END AS status,
-  error_status FROM reason"""
+  error_status FROM (SELECT * FROM reason UNION ALL SELECT * FROM reason WHERE link_id % 10 = 3)"""
 
 #: Stored articles are read again whether or not others have the same URL.
 ORACLE["stored_article_reread"] = f"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pressloom import vocab
@@ -739,10 +740,19 @@ def stream_harvest(spark, folder):
     """Outcomes of the queue read as a stream of files."""
     found = crawl(spark, folder)
     queue_folder = new_folder(spark, "links")
-    derived.open_links(found).write.parquet(queue_folder)
+    # Files in order of the ids, the newest links first: later files hold older dates.
+    # Then some links once more as they were, and some that were put back.
+    links = derived.open_links(found).withColumn(
+        "date_created", F.expr("timestampadd(HOUR, -cast(link_id as int), timestamp_ntz'2024-03-01 00:00:00')"))
+    part = F.ntile(4).over(Window.orderBy("link_id"))
+    numbered = links.withColumn("part", part)
+    requeued = links.where("link_id % 10 = 3").withColumn("date_updated", F.expr("timestamp_ntz'2024-06-01 00:00:00'"))
+    files = [numbered.where(F.col("part") == k).drop("part") for k in (1, 2, 3, 4)]
+    for rows in [*files, links.where("link_id % 10 = 1"), requeued]:
+        rows.coalesce(1).write.mode("append").parquet(queue_folder)
     out = f"{queue_folder}-out"
     run = harvest_stream.start_harvest(
-        harvest_stream.first_seen(harvest_stream.link_stream(spark, queue_folder)),
+        harvest_stream.link_stream(spark, queue_folder, files_per_trigger=1),
         found, derived.websites(found), out, f"{queue_folder}-checkpoint", as_of,
     )
     run.awaitTermination()

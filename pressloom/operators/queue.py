@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.store import find, predicate
-from ..vocab import JS_CREATORS, PROCESSING, QUEUED, REQUEUE_CAP, SYSTEM_CREATOR
+from ..vocab import JS_CREATORS, PROCESSING, QUEUED, SYSTEM_CREATOR
 
 
 def link_view(links: DataFrame) -> DataFrame:
@@ -70,9 +70,8 @@ def shuffled(batch: DataFrame, id_column: str, seed: int) -> DataFrame:
     return batch.orderBy(F.xxhash64(F.col(id_column), F.lit(seed)), id_column)
 
 
-#: Rows ranked by one task, and the most slices a table is ranked in.
+#: Rows ranked by one task.
 SLICE_ROWS = 1_000_000
-MAX_SLICES = 512
 
 
 def even_split(df: DataFrame, key: str, parts: int, slices: int | None = None) -> DataFrame:
@@ -81,10 +80,11 @@ def even_split(df: DataFrame, key: str, parts: int, slices: int | None = None) -
 
     Same result as ``ntile`` without its single task: the key range is cut at
     ``slices`` approximate quantiles, rows are ranked inside a slice, and the
-    slice sizes (``slices`` numbers on the driver) give each rank its offset.
+    slice sizes (``slices`` numbers on the driver, one per ``SLICE_ROWS`` rows) give
+    each rank its offset.
     """
     if slices is None:
-        slices = min(MAX_SLICES, max(8, df.count() // SLICE_ROWS))
+        slices = max(8, df.count() // SLICE_ROWS)
     shares = [i / slices for i in range(1, slices)]
     cuts = sorted(set(df.select(F.percentile_approx(key, shares, 10_000)).first()[0] or []))
     slice_of = F.size(F.filter(F.lit(cuts), lambda c: c < F.col(key))) if cuts else F.lit(0)
@@ -122,10 +122,10 @@ def stale_article_query(host: str, pipeline: str | None = None) -> dict:
 
 def requeued(
     table: DataFrame, query: dict, id_column: str, status: str,
-    older_than: Column | None = None, cap: int | None = REQUEUE_CAP,
+    older_than: Column | None = None, cap: int | None = None,
 ) -> DataFrame:
-    """Unfinished claims that go back to the queue. One round takes up to ``cap``
-    of them, lowest ids first, and the next rounds the rest; None takes all."""
+    """Unfinished claims that go back to the queue: all of them, or those of one round
+    of up to ``cap``, lowest ids first."""
     stale = table.where(predicate(query))
     if older_than is not None:
         stale = stale.where(F.col("date_updated") < older_than)

@@ -58,14 +58,15 @@ def error_status(outcome: Column, detail: Column) -> Column:
 
 def status_updates(outcomes: DataFrame, as_of: Column, js: bool = False) -> DataFrame:
     """New status of each entry. Duplicates are done, but errors of the rendered
-    mode, where errors also change the creator."""
+    mode, where errors also change the creator, except those of an empty record."""
+    empty = F.col("outcome").isin(OUTCOME_NO_CONTENT, OUTCOME_NO_TITLE)
     done = [OUTCOME_SCRAPED] if js else [OUTCOME_SCRAPED, OUTCOME_DUPLICATE]
     is_done = F.col("outcome").isin(*done)
     return outcomes.select(
         "link_id",
         F.when(is_done, F.lit(DONE)).otherwise(F.lit(ERROR)).alias("status"),
         "error_status",
-        (F.when(~is_done, F.lit(JS_ERROR_CREATOR)) if js else F.lit(None).cast("string")).alias("created_by"),
+        (F.when(~is_done & ~empty, F.lit(JS_ERROR_CREATOR)) if js else F.lit(None).cast("string")).alias("created_by"),
         as_of.alias("date_updated"),
     )
 

@@ -30,10 +30,10 @@ def predicate(query: dict) -> Column:
     return test
 
 
-def find(df: DataFrame, query: dict, limit: int | None = 1, tiebreak: str | None = None) -> DataFrame:
+def find(df: DataFrame, query: dict, limit: int | None, tiebreak: str | None = None) -> DataFrame:
     """Rows that match a query, or a query wrapped as ``$query``/``$orderby``.
 
-    ``limit`` counts rows as asked for by the caller; None returns all.
+    ``limit`` is the number of rows the caller asks for; None returns all.
     """
     wrapped = "$query" in query
     unknown = [k for k in query if k.startswith("$") and k not in ("$query", "$orderby")]

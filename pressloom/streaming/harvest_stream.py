@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.urls import canonical_url
 from ..operators.joins import stage
 from ..plans.harvest import CREATOR, harvest
 from ..schemas import ARTICLES, LINKS
@@ -25,34 +24,52 @@ def link_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) ->
     )
 
 
-def first_seen(links: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Links without those delivered again within the watermark.
+def claims(links: DataFrame) -> DataFrame:
+    """One entry per link with ``claimed_at``, when it last became due: at its last
+    update, or at its creation. Repeats of a link within one batch are its newest claim."""
+    due = F.coalesce("date_updated", "date_created")
+    return links.groupBy("link_id").agg(F.max(F.struct(due.alias("claimed_at"), "original_url")).alias("c")).select(
+        "link_id", "c.original_url", "c.claimed_at"
+    )
+
+
+def unread(entries: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Entries without an outcome of the same or a later claim.
 
-    Only repeats of the same entry are dropped. Other entries with the same
-    canonical URL stay, because each must get an outcome: the harvest marks them
-    as duplicates, in one batch and across batches.
+    Nothing goes by its date: a link of any age is read when it arrives, a repeated
+    delivery is not read again, and one that was put back into the queue is. Other
+    entries with the same canonical URL stay, because each must get an outcome: the
+    harvest marks them as duplicates, in one batch and across batches.
     """
-    return (
-        links.withColumn("canonical_url", canonical_url(F.col("original_url")))
-        .withColumn("seen_at", F.col("date_created").cast("timestamp"))
-        .withWatermark("seen_at", watermark)
-        .dropDuplicatesWithinWatermark(["link_id", "canonical_url"])
-        .drop("canonical_url", "seen_at")
+    read = outcomes.groupBy("link_id").agg(
+        F.max("claimed_at").alias("__read_at"), F.count(F.lit(1)).alias("__times")
     )
+    later = F.col("claimed_at") > F.col("__read_at")
+    undated = F.col("claimed_at").isNotNull() & F.col("__read_at").isNull()
+    return entries.join(read, "link_id", "left").where(F.col("__times").isNull() | later | undated).select(*entries.columns)
 
 
-def stored_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """Articles of earlier batches. A batch that is run again must not see what
+def _earlier(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """What batches before this one wrote. A batch that is run again must not see what
     its first run wrote."""
     jvm = spark._jvm.org.apache.hadoop.fs
     folder = jvm.Path(path)
-    exists = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-    if not exists:
-        return spark.createDataFrame([], ARTICLES)
-    stored = spark.read.schema(ARTICLES + ", batch_id bigint").parquet(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema(schema + ", batch_id bigint").parquet(path)
     return stored.where(F.col("batch_id") < batch_id).drop("batch_id")
 
 
+def stored_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """Articles of earlier batches."""
+    return _earlier(spark, path, batch_id, ARTICLES)
+
+
+def outcomes_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """Claims that earlier batches gave an outcome."""
+    return _earlier(spark, path, batch_id, "link_id bigint, claimed_at timestamp_ntz")
+
+
 def start_harvest(
     links: DataFrame, pages: DataFrame, websites: DataFrame, out: str, checkpoint: str,
     as_of: Callable[[], Column], creator: str = CREATOR, js: bool = False,
@@ -66,15 +83,16 @@ def start_harvest(
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         now = as_of()
-        # The batch is read from its source, and its state updated, only once.
-        entries = stage(batch.select("link_id", "original_url"), "batch")
+        # The batch is read from its source only once.
+        done = outcomes_before(spark, f"{out}/link_status", batch_id)
+        entries = stage(unread(claims(batch), done), "batch")
         if entries.isEmpty():
             return
         result = harvest(
-            entries, pages, websites, stored_before(spark, f"{out}/articles", batch_id), now, creator, js
+            entries.select("link_id", "original_url"), pages, websites, stored_before(spark, f"{out}/articles", batch_id), now, creator, js
         )
         append_articles(result.articles, f"{out}/articles", batch_id)
-        updates = result.link_updates(now, js)
+        updates = result.link_updates(now, js).join(entries.select("link_id", "claimed_at"), "link_id")
         updates.write.mode("overwrite").parquet(f"{out}/link_status/batch_id={batch_id}")
 
     return (

@@ -76,7 +76,6 @@ QUEUED = "Queued"
 PROCESSING = "Processing"
 DONE = "Done"
 ERROR = "Error"
-REQUEUE_CAP = 10_000
 SYSTEM_CREATOR = "System"
 JS_CREATORS = ["JS_link", "JS_lazy"]
 JS_ERROR_CREATOR = "JS_Error"

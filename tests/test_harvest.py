@@ -70,6 +70,7 @@ def test_statuses(result):
     assert static[7] == ("Error", "Unverified Website", None) and static[10] == ("Error", "no page source", None)
     rendered = {r.link_id: (r.status, r.created_by) for r in result.link_updates(as_of(), js=True).collect()}
     assert rendered[1] == ("Done", None) and rendered[2] == ("Error", "JS_Error")
+    assert rendered[3] == ("Error", None) and rendered[6] == ("Error", None) and rendered[7] == ("Error", "JS_Error")
 
 
 def test_running_again_adds_nothing(world, result):
@@ -105,7 +106,7 @@ def test_stream_equals_batch(spark, world, result, tmp_path):
 
     def start():
         run = harvest_stream.start_harvest(
-            harvest_stream.first_seen(harvest_stream.link_stream(spark, f"{tmp_path}/links")),
+            harvest_stream.link_stream(spark, f"{tmp_path}/links"),
             pages, sites, out, f"{tmp_path}/checkpoint", as_of)
         run.awaitTermination()
         assert run.exception() is None
@@ -125,3 +126,13 @@ def test_stream_equals_batch(spark, world, result, tmp_path):
     assert articles.count() == 3 and articles.select("article_url").distinct().count() == 3
     late = spark.read.parquet(f"{out}/link_status").where("link_id > 100").collect()
     assert {(r.link_id, r.status) for r in late} == {(101, "Done"), (104, "Done")}
+
+    # A link much older than all before, one delivered once more, one put back.
+    old = queue.where("link_id = 3").withColumn("link_id", F.lit(200)).withColumn("date_created", F.expr("timestamp_ntz'2019-01-01 00:00:00'"))
+    again = queue.where("link_id = 1")
+    requeued = queue.where("link_id = 4").withColumn("date_updated", F.expr("timestamp_ntz'2024-02-01 00:00:00'"))
+    for rows in (old, again, requeued):
+        rows.select(*queue.columns).coalesce(1).write.mode("append").parquet(f"{tmp_path}/links")
+    start()
+    times = {r.link_id: r["count"] for r in spark.read.parquet(f"{out}/link_status").groupBy("link_id").count().collect()}
+    assert times[200] == 1 and times[1] == 1 and times[4] == 2

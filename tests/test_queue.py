@@ -26,7 +26,9 @@ def test_requeue_round_takes_the_lowest_ids(spark):
     links = spark.createDataFrame(rows, "link_id long, status string, created_by string")
     one = queue.requeued(links, queue.stale_link_query("h1"), "link_id", "status", cap=3)
     assert sorted(r.link_id for r in one.collect()) == [1, 3, 5]
-    assert queue.requeued(links, queue.stale_link_query("h1"), "link_id", "status", cap=None).count() == 5
+    assert queue.requeued(links, queue.stale_link_query("h1"), "link_id", "status").count() == 5
+    many = spark.range(30_000).select(F.col("id").alias("link_id"), F.lit("Processing@h1").alias("status"), F.lit("System").alias("created_by"))
+    assert queue.requeued(many, queue.stale_link_query("h1"), "link_id", "status").count() == 30_000
 
 
 def test_stale_articles(spark):

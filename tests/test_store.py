@@ -20,7 +20,7 @@ def test_find(links):
     assert ids(store.find(links, {"status": "Queued", "original_url": {"$ne": None}}, None)) == [1, 4, 5]
     assert ids(store.find(links, {"created_by": {"$in": ["JS_link", "JS_lazy"]}}, None)) == [3, 4]
     assert ids(store.find(links, {"original_url": None}, None)) == [2]
-    assert store.find(links, {}).count() == 1
+    assert store.find(links, {}, 1).count() == 1
     ordered = store.find(links, {"$query": {"status": "Queued"}, "$orderby": {"link_id": -1}}, 2)
     assert [r.link_id for r in ordered.collect()] == [5, 4]
 
@@ -28,7 +28,7 @@ def test_find(links):
 @pytest.mark.parametrize("query", [{"a": {"$gt": 1}}, {"$or": []}, {"link_id": {"$ne": 3}}])
 def test_unknown_operator(links, query):
     with pytest.raises(ValueError):
-        store.find(links, query)
+        store.find(links, query, None)
 
 
 def test_get_one_and_counts(links):
