@@ -22,12 +22,12 @@ PASSAGE, STRIDE = 32, 16
 RANK, EXTRA = 384, 16
 #: Words of the items searched for in one pass over the corpus.
 BLOCK_WORDS = 100_000
-LEAST_COSINE = 0.45
+LEAST_COSINE = 0.3
 #: An item is found where this share of it, by inverse frequency, stands in order (near
 #: verbatim) ...
-VERBATIM = 0.75
+VERBATIM = 0.6
 #: ... or this share, if this share of its answer does too (paraphrase).
-PARAPHRASE, ANSWER = 0.5, 0.75
+PARAPHRASE, ANSWER = 0.4, 0.5
 _BLANKED = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
@@ -135,6 +135,7 @@ class Items:
     vectors: np.ndarray
     owner: np.ndarray = field(init=False)
     points: np.ndarray = field(init=False)
+    table: np.ndarray | None = field(init=False, default=None)
 
     def __post_init__(self) -> None:
         """``points`` are the items' unit passages b in the space, over the squared share
@@ -152,6 +153,13 @@ class Items:
         self.owner = np.array(owner, np.int64)
         self.points = np.stack(points).astype(np.float32) if points else np.empty((0, self.vectors.shape[1]), np.float32)
 
+    def _products(self, terms: np.ndarray) -> np.ndarray:
+        """Products of terms and the items' passages in the space; kept for all terms
+        while that is no larger than the vectors themselves may be."""
+        if self.table is None and self.vectors.shape[0] * len(self.points) <= BUCKETS * RANK // 4:
+            self.table = self.vectors @ self.points.T
+        return self.vectors[terms] @ self.points.T if self.table is None else self.table[terms]
+
     def near(self, own: np.ndarray) -> Iterator[tuple[int, int, float]]:
         """(passage, item, cosine) of a text's passages that come near an item.
 
@@ -167,11 +175,15 @@ class Items:
         )
         chosen = inside >= LEAST_COSINE ** 2 * whole
         starts, whole = starts[chosen], np.sqrt(whole[chosen])
-        for first in range(0, len(starts), 64):
-            some = starts[first:first + 64]
+        for first in range(0, len(starts), 256):
+            some = starts[first:first + 256]
             at = some[:, None] + np.arange(PASSAGE)
-            sums = np.einsum("pw,pwr->pr", known[at], self.vectors[place[at]], optimize=True)
-            cosine = sums @ self.points.T / whole[first:first + 64, None]
+            row, column = np.nonzero(place[at] >= 0)
+            at = at[row, column]
+            ids, term = np.unique(place[at], return_inverse=True)
+            size = (len(some), len(ids))
+            matrix = np.bincount(row * len(ids) + term, known[at], size[0] * size[1]).reshape(size)
+            cosine = matrix.astype(np.float32) @ self._products(ids) / whole[first:first + 256, None]
             for i, k in zip(*np.nonzero(cosine >= LEAST_COSINE)):
                 yield int(some[i]), int(self.owner[k]), float(min(1.0, cosine[i, k]))
 
