@@ -348,7 +348,8 @@ ORACLE["string_block_quality"] = f"""
 WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: {strip('x')}),
   lambda x: x <> '') AS l FROM documents)
 SELECT doc_id, len(l) AS n_lines, len(list_filter(l, lambda x: length(x) >= 30)) AS n_long,
-  len(list_filter(l, lambda x: length(x) >= 100)) > 0 AS is_admitted FROM l
+  len(list_filter(l, lambda x: length(x) >= 100)) > 0 OR (len(l) > 0 AND 2 * len(list_filter(l, lambda x: length(x) >= 30)) >= len(l)
+    AND length(array_to_string(l, chr(10) || chr(10))) >= 100) AS is_admitted FROM l
 """
 
 ORACLE["date_mentions"] = f"""

@@ -456,7 +456,7 @@ def string_block_quality(spark, folder):
             "doc_id",
             F.size("lines").cast("long").alias("n_lines"),
             F.size(F.filter("lines", lambda l: F.length(l) >= 30)).cast("long").alias("n_long"),
-            F.exists("lines", lambda l: F.length(l) >= content.ADMIT_LENGTH).alias("is_admitted"),
+            (content.has_long_string(F.col("lines")) | content.is_dense(F.col("lines"))).alias("is_admitted"),
         )
     )
 

@@ -24,6 +24,8 @@ from ..vocab import (
 
 CLIMB_MIN_STRINGS = 3
 ADMIT_LENGTH = 100
+#: Length that a string of a dense list has.
+DENSE_LENGTH = 30
 MAX_INVALID_SCORE = 0.7
 SHORT_WORDS = 4
 GROWTH_PER_STRING = 4
@@ -188,10 +190,27 @@ def _merged(candidates: Column) -> Column:
     )))
 
 
+def has_long_string(strings: Column) -> Column:
+    """Whether one of the strings is long enough by itself."""
+    return F.exists(strings, lambda t: F.length(t) >= ADMIT_LENGTH)
+
+
+def is_dense(strings: Column) -> Column:
+    """Whether at least half of the strings are of some length and all together are
+    long enough."""
+    some = F.size(F.filter(strings, lambda t: F.length(t) >= DENSE_LENGTH))
+    whole = F.length(F.array_join(strings, "\n\n"))
+    return (F.size(strings) > 0) & (2 * some >= F.size(strings)) & (whole >= ADMIT_LENGTH)
+
+
 def _admitted(lists: Column) -> Column:
-    """All lists if any of their strings is long enough, else none."""
-    return let(lists, lambda ls: F.when(
-        F.exists(ls, lambda l: F.exists(l, lambda t: F.length(t) >= ADMIT_LENGTH)), ls
+    """All lists if any of their strings is long enough. Else the dense lists, each as
+    the one string that its strings make together; null without any."""
+    def dense(ls: Column) -> Column:
+        return F.transform(F.filter(ls, is_dense), lambda l: F.array(F.array_join(l, "\n\n")))
+
+    return let(lists, lambda ls: F.when(F.exists(ls, has_long_string), ls).otherwise(
+        let(dense(ls), lambda d: F.when(F.size(d) > 0, d))
     ))
 
 

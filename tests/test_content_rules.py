@@ -57,3 +57,14 @@ def test_second_lists_only_when_the_first_give_nothing():
     assert body_text([[other]], [[text * 2]], HEAD, STOP, INVALID) == text * 2
     assert body_text(None, [[text]], HEAD, STOP, INVALID) == text
     assert body_text(None, None, HEAD, STOP, INVALID) is None
+
+
+def test_lists_without_a_long_string_are_admitted_by_density(values):
+    from pyspark.sql import functions as F
+
+    from pressloom.operators.content import _admitted
+
+    a, b = "x" * 63, "y" * 67
+    lists = [[["short"] * 12, [a, b]], [["short"] * 12, [a]], [["z" * 100], ["w"]], [["short"] * 3, [a, b, "s", "t", "u"]]]
+    got = values([(row,) for row in lists], "l array<array<string>>", _admitted(F.col("l")))
+    assert got == [[[f"{a}\n\n{b}"]], None, [["z" * 100], ["w"]], None]
