@@ -117,7 +117,9 @@ def latent_space(items: DataFrame, idf: np.ndarray, rank: int = RANK) -> tuple[n
     z = np.frombuffer(b"".join(table["z"].to_pylist())).reshape(-1, width)[order]
     ids = ids[order]
     values, vectors = np.linalg.eigh(random_rows(ids, width).T @ z)
-    good = values > values[-1] * 1e-9
+    good = values > max(values[-1], 0.0) * 1e-9
+    if not good.any():
+        return ids, np.zeros((len(ids), 1), np.float32)
     basis = z @ (vectors[:, good] / np.sqrt(values[good]))
     left, sizes, _ = np.linalg.svd(basis, full_matrices=False)
     return ids, left[:, :rank][:, sizes[:rank] > 1e-6 * sizes[0]].astype(np.float32)
