@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import let
 from ..operators.joins import stage
 
 # Every pattern starts where a match may start for the first time: at the beginning of
@@ -51,20 +52,45 @@ def _spans(text: Column, pattern: str, needs: Column) -> Column:
     ``split`` and ``regexp_extract_all`` walk through the same matches, so the lengths
     of the pieces between and of the matches give the places.
     """
+    def steps(found: Column) -> Column:
+        return F.zip_with(
+            found, F.slice(F.split(text, pattern, -1), 1, F.size(found)),
+            lambda m, gap: F.struct(m.alias("match"), F.length(gap).alias("gap"), F.length(m).alias("n")),
+        )
+
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.zip_with(
-        found, F.slice(F.split(text, pattern, -1), 1, F.size(found)),
-        lambda m, gap: F.struct(m.alias("match"), F.length(gap).alias("gap"), F.length(m).alias("n")),
-    )
-    empty = F.array().cast("array<struct<match: string, start: int, end: int>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    return F.when(needs, let(let(found, steps), _placed))
+
+
+#: Matches added up at a time: growing one array by each of very many would cost the
+#: square of their number.
+_TOGETHER = 128
+
+
+def _placed(steps: Column) -> Column:
+    """Steps (match, gap, n) as spans (match, start, end): places within groups of
+    steps, on top of where each group begins."""
+    none = F.array().cast("array<struct<match: string, start: int, end: int>>")
+    last = F.floor((F.size(steps) - 1) / _TOGETHER).cast("int")
+    groups = F.transform(F.sequence(F.lit(0), last), lambda g: F.slice(steps, g * _TOGETHER + 1, _TOGETHER))
+
+    def begin(acc: Column, group: Column) -> Column:
+        width = F.aggregate(group, F.lit(0), lambda total, s: total + s["gap"] + s["n"])
+        return F.struct((acc["at"] + width).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
 
     def add(acc: Column, step: Column) -> Column:
-        begin = acc["at"] + step["gap"]
-        span = F.struct(step["match"].alias("match"), begin.alias("start"), (begin + step["n"]).alias("end"))
+        start = acc["at"] + step["gap"]
+        span = F.struct(step["match"].alias("match"), start.alias("start"), (start + step["n"]).alias("end"))
         return F.struct(span["end"].alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    return F.when(needs, F.aggregate(steps, start, add, lambda acc: acc["out"]))
+    def within(group: Column, at: Column) -> Column:
+        return F.aggregate(group, F.struct(at.alias("at"), none.alias("out")), add, lambda acc: acc["out"])
+
+    def all_groups(gs: Column) -> Column:
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.flatten(F.zip_with(gs, F.aggregate(gs, first, begin, lambda acc: acc["out"]), within))
+
+    return F.when(F.size(steps) > 0, let(groups, all_groups)).otherwise(none)
 
 
 def luhn(digits: Column) -> Column:
@@ -121,7 +147,8 @@ def candidates(text: Column, base: Column) -> Column:
         digits = F.length(F.regexp_replace(token, "[^0-9]", ""))
         hexadecimal = token.rlike("^[0-9a-f]{16,}$") | token.rlike("^[0-9A-F]{16,}$")
         known = token.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$") | (hexadecimal & (digits > 0)) | token.rlike("^(?:ghp_|sk-|xox[bp]-)")
-        plain = token.rlike("^[0-9-]+$") | token.rlike("^[A-Za-z]+[-_/]?[0-9]{1,4}$") | (digits == 0)
+        turns = F.regexp_count(token, F.lit("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])"))
+        plain = token.rlike("^[0-9/-]+$") | token.rlike("^[0-9]{4}-[0-9]{2}") | (token.rlike("^[A-Za-z]*[a-z]{3,}") & (turns <= 2))
 
         def vote(yes: Column, no: Column | None = None) -> Column:
             out = F.when(yes, F.lit(1))
@@ -131,7 +158,7 @@ def candidates(text: Column, base: Column) -> Column:
             vote(known, token.rlike("^[a-z]+[0-9]{0,3}$")),
             vote(name.isin(*SECRET_NAMES), (name != "") & ~name.isin(*SECRET_NAMES)),
             vote(m.rlike("[=:]")),
-            vote((digits > 1) & token.rlike("[A-Za-z]"), token.rlike("^[A-Za-z]?[a-z]+[-_/]") | (digits * 20 < n)),
+            vote(turns >= 3, turns <= 1),
             vote(F.lit(False), plain),
         )
         features = F.array(
@@ -140,7 +167,9 @@ def candidates(text: Column, base: Column) -> Column:
             F.concat(F.lit("case:"), F.when(token.rlike("[a-z]"), "l").otherwise(""), F.when(token.rlike("[A-Z]"), "u").otherwise("")),
             F.concat(F.lit("name:"), F.when(name.isin(*SECRET_NAMES), "secret").when(name != "", "other").otherwise("none")),
             F.concat(F.lit("quote:"), m.rlike("[\\x22']").cast("string")),
-            F.concat(F.lit("hex:"), hexadecimal.cast("string")),
+            F.concat(F.lit("known:"), known.cast("string")),
+            F.concat(F.lit("plain:"), plain.cast("string")),
+            F.concat(F.lit("turns:"), F.least(turns, F.lit(6)).cast("string")),
         )
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), votes.alias("votes"), features.alias("features"))
 

@@ -33,7 +33,7 @@ def brute(text):
 HARD = [
     "a@b.c@d.e f@g.h_i@j.k x@y a@b.c. \U0001F600 é@b.de z.9@m-1.example.com,", "1.2.3.4.5.6.7.8 256.1.1.1 0255.1.1.001 1.2.3",
     "4111 1111 1111 1111 4111-1111-1111-1112 41111111111111114111111111111111 5 5", "+1 (555) 010-9999 +12 +123456789 +1234567890123456 ++49 30 1234567.",
-    "4" * 60_000, "1 " * 30_000, "a" * 60_000 + "@", "1." * 20_000, "+" * 5_000 + "1", "x.y%z+" * 9_000,
+    "4" * 2_000, "1 " * 2_000, "a" * 2_000 + "@", "1." * 1_000, "+" * 500 + "1", "x.y%z+" * 400,
 ]
 
 
@@ -91,3 +91,9 @@ def test_main_path_runs_no_python(odd):
 def test_luhn(values):
     got = values([("4041894974608795",), ("4041894974608796",), ("0",)], "d string", pii.luhn(F.col("d")))
     assert got == [True, False, True]
+
+
+def test_long_runs_take_no_longer_than_their_length(docs):
+    rows = [(0, "4" * 200_000), (1, "1 " * 100_000), (2, "a" * 200_000 + "@"), (3, "x.y%z+" * 30_000), (4, "+" * 50_000 + "1")]
+    got = pii.personal_data(docs(rows)).collect()
+    assert all(r.n_email + r.n_ip + r.n_card + r.n_phone == 0 for r in got)
