@@ -1,4 +1,4 @@
-"""Near duplicates: ProbMinHash sketches of weighted shingles, banding, exact
+"""Near duplicates: ProbMinHash sketches of weighted and of plain shingles, banding, exact
 verification of candidate pairs, and classes of linked documents."""
 
 from __future__ import annotations
@@ -99,7 +99,12 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 def sketches(docs: DataFrame) -> DataFrame:
     """Per document its fingerprint (128 bits of its words), band hashes and the low
-    16 bits of each slot; null where it has no words."""
+    16 bits of each slot; null where it has no words.
+
+    A text that repeats a shingle has a second sketch with all weights 1, whose bands
+    follow those of the first, null where they are the same, and so do its marks. Other
+    texts have one sketch for both similarities.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, first, second, keys, marks = [], [], [], [], []
@@ -111,11 +116,18 @@ def sketches(docs: DataFrame) -> DataFrame:
                         column.append(None)
                     continue
                 whole = xxhash.xxh3_128_digest(b" ".join(words))
-                won = sketch(*shingles(text))
+                items, weights = shingles(text)
+                won = sketch(items, weights)
+                own = bands(won)
+                buckets, slots = own.tolist(), [won]
+                if (weights != 1).any():
+                    plain = sketch(items, np.ones(len(items)))
+                    buckets += [p if p != o else None for p, o in zip(bands(plain).tolist(), own.tolist())]
+                    slots.append(plain)
                 first.append(int.from_bytes(whole[:8], "big", signed=True))
                 second.append(int.from_bytes(whole[8:], "big", signed=True))
-                keys.append(bands(won))
-                marks.append((won & np.uint64(0xFFFF)).astype("<u2").tobytes())
+                keys.append(buckets)
+                marks.append((np.concatenate(slots) & np.uint64(0xFFFF)).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
                 pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.binary()),
@@ -204,10 +216,14 @@ def _joining_links(group: pa.Table, least: float) -> Iterator[tuple[int, int]]:
 
     Every searching row meets all rows of other components that are likely enough by
     their slots, the likeliest first; components joined on the way need no second link.
-    A pair counts in the first band it shares, and two searching rows once.
+    A pair is as likely as the better of its two sketches says. It counts in the first
+    band it shares, and two searching rows once.
     """
     node, comp = group["node"].to_pylist(), group["comp"].to_pylist()
-    marks = np.frombuffer(b"".join(group["marks"].to_pylist()), "<u2").reshape(len(node), BANDS, ROWS)
+    both = [m if len(m) > 2 * SLOTS else m + m for m in map(bytes, group["marks"].to_pylist())]
+    marks = np.frombuffer(b"".join(both), "<u2").reshape(len(node), 2, BANDS, ROWS)
+    # Bands of one sketch also meet those of the other.
+    kinds = [(0, 0)] if (marks[:, 0] == marks[:, 1]).all() else [(0, 0), (1, 1), (0, 1), (1, 0)]
     seeks, outside = (group[c].to_numpy(zero_copy_only=False) for c in ("seeks", "outside"))
     there = np.flatnonzero(~seeks)
     band = group["band"][0].as_py()
@@ -225,9 +241,9 @@ def _joining_links(group: pa.Table, least: float) -> Iterator[tuple[int, int]]:
         return known[node[i]]
 
     for i in np.flatnonzero(seeks).tolist():
-        same = marks[there] == marks[i]
-        share = same.mean((1, 2))
-        likely = (share >= least) & (same.all(2).argmax(1) == band)
+        same = [marks[there, p] == marks[i, q] for p, q in kinds]
+        share = np.max([x.mean((1, 2)) for x in same[:2]], axis=0)
+        likely = (share >= least) & (np.any([x.all(2) for x in same], axis=0).argmax(1) == band)
         for k in np.argsort(-share, kind="stable").tolist():
             j = int(there[k])
             if likely[k] and not (outside[j] and node[j] <= node[i]) and root(comp[i]) != root(comp[j]):
@@ -285,8 +301,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     In every bucket of a band all members are compared with its least one (its hub).
     In buckets whose other members still lie in several components, every pair across
-    components is compared unless its slots put it four standard deviations below 0.8.
-    A pair at 0.8 shares none of the bands with a chance of 6e-5.
+    components is compared unless its slots put both similarities four standard
+    deviations below 0.8. A pair at 0.8 by either similarity shares none of the bands of
+    that similarity's sketches with a chance of 6e-5.
 
     Null texts and texts without words are alone in their class. Rows without doc_id
     get null classes. Rows that share a doc_id are one document: they get one class.
@@ -299,7 +316,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .filter("__rank = 1").drop("__rank"), "nodes",
     )
     drawn = drawn.select("doc_id", "f1", "f2")
-    banded = nodes.select(F.posexplode("bands").alias("band", "bucket"), F.col("doc_id").alias("node"))
+    banded = nodes.select(F.posexplode("bands").alias("at", "bucket"), F.col("doc_id").alias("node")).filter(
+        "bucket is not null").select((F.col("at") % BANDS).alias("band"), "bucket", "node")
     shared = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("__last")).filter("hub < __last")
     members = stage(banded.join(shared.drop("__last"), "bucket"), "members")
     chosen = members.select("node").distinct()

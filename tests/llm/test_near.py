@@ -101,6 +101,36 @@ def test_members_that_fail_with_the_hub_still_meet(spark, monkeypatch):
         assert {r.node: r.comp for r in joined.collect()} == {n: 11 for n in range(11, 31)}
 
 
+def repeated(number, times):
+    """Two texts of the same lines; the second says one of them many times."""
+    body, line = [f"b{number}_{i}" for i in range(60)], [f"l{number}_{i}" for i in range(10)]
+    return " ".join([*body, *line]), " ".join([*body, *line * times])
+
+
+def test_texts_alike_as_sets_only_are_linked(spark, docs):
+    """One line said 200 or 1000 times leaves the sets alike and the weighted sets not."""
+    rows = []
+    for n in range(20):
+        once, many = repeated(n, 200 if n % 2 else 1000)
+        rows += [(2 * n, once), (2 * n + 1, many)]
+    plain, probability = near.similarity(near.shingles(rows[0][1]), near.shingles(rows[1][1]))
+    assert plain > 0.8 > near.LEAST_ESTIMATE > probability
+    got = {r.doc_id: r.class_id for r in near.near_duplicates(docs(rows)).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+def test_texts_alike_as_sets_only_meet_without_the_hub(spark):
+    """The bucket's least row is like nobody; the pair shares a bucket and must be linked."""
+    once, many = repeated(0, 200)
+    texts = {1: " ".join(f"x{i}" for i in range(60)), 2: once, 3: many}
+    made = {r.doc_id: r for r in near.sketches(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    band = next(k for k, b in enumerate(made[2].bands) if b in made[3].bands)
+    members = spark.createDataFrame([(7, band, n, 1) for n in texts], "bucket long, band int, node long, hub long")
+    labels = spark.createDataFrame([], "node long, comp long")
+    nodes = spark.createDataFrame([(n, made[n].marks, t) for n, t in texts.items()], "node long, marks binary, text string")
+    assert [(r.a, r.b) for r in near.remaining_links(members, labels, nodes).collect()] == [(2, 3)]
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101)], "a long, b long")
     got = {r.node: r.comp for r in near.components(links).collect()}
