@@ -23,6 +23,9 @@ RANK, EXTRA = 384, 16
 #: Words of the items searched for in one pass over the corpus.
 BLOCK_WORDS = 100_000
 LEAST_COSINE = 0.3
+#: A passage is compared too where it holds this part of the squared weight of an item's
+#: passage, whatever else it holds: words that no item has do not count against it.
+LEAST_PART = 0.2
 #: An item is found where this share of it, by inverse frequency, stands in order (near
 #: verbatim) ...
 VERBATIM = 0.6
@@ -137,13 +140,17 @@ class Items:
     vectors: np.ndarray
     owner: np.ndarray = field(init=False)
     points: np.ndarray = field(init=False)
+    norms: np.ndarray = field(init=False)
+    lightest: float = field(init=False, default=0.0)
     table: np.ndarray | None = field(init=False, default=None)
 
     def __post_init__(self) -> None:
         """``points`` are the items' unit passages b in the space, over the squared share
         of b that the space holds: their product with a passage estimates the cosine
-        in the full space, and is it where the space is complete."""
-        owner, points = [], []
+        in the full space, and is it where the space is complete. ``norms`` are the
+        weights of the passages; ``lightest`` is the least squared weight of one, each
+        over the count of its most frequent term."""
+        owner, points, norms, least = [], [], [], [np.inf]
         for k, words in enumerate(self.words):
             own = buckets(words)
             for at in passages(len(own)):
@@ -151,8 +158,11 @@ class Items:
                 row = tf * self.idf[ids]
                 point = (row / max(np.linalg.norm(row), 1e-12)) @ self.vectors[self.place[ids]]
                 owner.append(k)
+                norms.append(np.linalg.norm(row))
+                least.append(float(row @ row) / tf.max())
                 points.append(point / max(float(point @ point), 1e-12))
         self.owner = np.array(owner, np.int64)
+        self.norms, self.lightest = np.array(norms, np.float32), min(least)
         self.points = np.stack(points).astype(np.float32) if points else np.empty((0, self.vectors.shape[1]), np.float32)
 
     def _products(self, terms: np.ndarray) -> np.ndarray:
@@ -163,10 +173,13 @@ class Items:
         return self.vectors[terms] @ self.points.T if self.table is None else self.table[terms]
 
     def near(self, own: np.ndarray) -> Iterator[tuple[int, int, float]]:
-        """(passage, item, cosine) of a text's passages that come near an item.
+        """(passage, item, cosine) of a text's passages that come near an item, or hold
+        ``LEAST_PART`` of one of its passages.
 
         A passage with less than ``LEAST_COSINE`` squared of its weight on terms of the
-        items has a smaller cosine with each of them already in the full space.
+        items has a smaller cosine with each of them already in the full space. One
+        whose squared weight on these terms is less than ``LEAST_PART`` of the lightest
+        item passage's holds less of each.
         """
         starts = passages(len(own))
         weight = np.append(self.idf[own], np.zeros(PASSAGE, np.float32))
@@ -175,7 +188,7 @@ class Items:
         inside, whole = (
             (s := np.append(0, np.cumsum(x * x, dtype=np.float64)))[starts + PASSAGE] - s[starts] for x in (known, weight)
         )
-        chosen = inside >= LEAST_COSINE ** 2 * whole
+        chosen = inside >= np.minimum(LEAST_COSINE ** 2 * whole, LEAST_PART * self.lightest)
         starts, whole = starts[chosen], np.sqrt(whole[chosen])
         for first in range(0, len(starts), 256):
             some = starts[first:first + 256]
@@ -185,9 +198,11 @@ class Items:
             ids, term = np.unique(place[at], return_inverse=True)
             size = (len(some), len(ids))
             matrix = np.bincount(row * len(ids) + term, known[at], size[0] * size[1]).reshape(size)
-            cosine = matrix.astype(np.float32) @ self._products(ids) / whole[first:first + 256, None]
-            for i, k in zip(*np.nonzero(cosine >= LEAST_COSINE)):
-                yield int(some[i]), int(self.owner[k]), float(min(1.0, cosine[i, k]))
+            length = whole[first:first + 256]
+            product = matrix.astype(np.float32) @ self._products(ids)
+            enough = np.minimum(LEAST_COSINE * length[:, None].astype(np.float32), LEAST_PART * self.norms)
+            for i, k in zip(*np.nonzero(product >= np.maximum(enough, 1e-6))):
+                yield int(some[i]), int(self.owner[k]), float(min(1.0, product[i, k] / length[i]))
 
 
 def answer_of(text: str) -> list[bytes]:

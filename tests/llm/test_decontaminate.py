@@ -74,6 +74,36 @@ def test_planted_items_are_found_and_nothing_else(spark, docs, folder):
     assert {i for i, _ in got if i < 10_000} <= hosts
 
 
+def test_rare_words_around_or_inside_an_item_hide_nothing():
+    """Words that no item has are the heaviest of a large corpus; every copy that the
+    rule accepts must be found among them, verbatim ones without exception."""
+    rng = random.Random(4)
+    words = [[b"w%d" % rng.randrange(60) for _ in range(n)] for n in (10, 12, 16, 20, 40, 80)]
+    idf = np.full(d.BUCKETS, 14, np.float32)
+    ids = np.unique(np.concatenate([d.buckets(w) for w in words]))
+    idf[ids] = np.random.default_rng(5).uniform(1, 5, len(ids))
+    place = np.full(d.BUCKETS, -1, np.int32)
+    place[ids] = np.arange(len(ids))
+    answers = [w[-len(w) // 4:] for w in words]
+    items = d.Items(list(range(len(words))), words, answers, idf, place, np.eye(len(ids), dtype=np.float32))
+    verbatim = accepted = 0
+    for unseen in (0, 0.2, 0.3, 0.4):
+        for k, item in enumerate(words * 5):
+            k %= len(words)
+            copy = [b"new%d" % rng.randrange(10 ** 9) if rng.random() < unseen else w for w in item]
+            worth = idf[d.buckets(item)]
+            share = d.common_share(item, copy, worth)
+            answer = d.common_share(answers[k], copy, worth[-len(answers[k]):])
+            if share < d.VERBATIM and (share < d.PARAPHRASE or answer < d.ANSWER):
+                continue
+            around = [b"rare%d" % rng.randrange(10 ** 9) for _ in range(120)]
+            at = rng.randrange(len(around))
+            text = b" ".join(around[:at] + copy + around[at:]).decode()
+            assert k in {found for found, *_ in d.findings(text, items)}, (unseen, len(item))
+            accepted, verbatim = accepted + 1, verbatim + (unseen == 0)
+    assert verbatim == 30 and accepted > 80
+
+
 def test_blocks_of_items_find_the_same(spark, docs, folder, monkeypatch):
     rows, bench, *_ = fixture(spark, folder)
     items = spark.createDataFrame(bench[:10], "item_id long, text string")
