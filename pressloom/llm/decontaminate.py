@@ -272,8 +272,9 @@ def findings(text: str | None, items: Items) -> Iterator[tuple[int, float, float
                 worth = items.idf[buckets(items.words[k])]
                 share = common_share(items.words[k], region, worth)
                 answer = common_share(items.answers[k], region, worth[-len(items.answers[k]):])
-                best = max(best, (share, answer, cosine))
-        if best[0] >= VERBATIM or (best[0] >= PARAPHRASE and best[1] >= ANSWER):
+                if share >= VERBATIM or (share >= PARAPHRASE and answer >= ANSWER):
+                    best = max(best, (share, answer, cosine))
+        if best[0]:
             yield items.ids[k], *best
 
 

@@ -104,6 +104,21 @@ def test_rare_words_around_or_inside_an_item_hide_nothing():
     assert verbatim == 30 and accepted > 80
 
 
+def test_every_region_is_judged():
+    """A larger piece without the answer does not hide a smaller one that has it."""
+    item = [b"w%d" % i for i in range(40)]
+    ids = np.unique(d.buckets(item))
+    place = np.full(d.BUCKETS, -1, np.int32)
+    place[ids] = np.arange(len(ids))
+    items = d.Items([5], [item], [item[-10:]], np.ones(d.BUCKETS, np.float32), place, np.eye(len(ids), dtype=np.float32))
+    gap = [b"x%d" % i for i in range(400)]
+    piece, reworded = item[:22], item[20:38]
+    def found(words):
+        return list(d.findings(b" ".join(words).decode(), items))
+    assert not found(gap + piece + gap) and found(gap + reworded + gap)
+    assert found(gap + piece + gap + reworded + gap) == found(gap + reworded + gap)
+
+
 def test_blocks_of_items_find_the_same(spark, docs, folder, monkeypatch):
     rows, bench, *_ = fixture(spark, folder)
     items = spark.createDataFrame(bench[:10], "item_id long, text string")
