@@ -125,6 +125,15 @@ def site_identity_suffix_table(spark, folder):
     return found.select("page_id", "site.*")
 
 
+@query
+def site_identity_national(spark, folder):
+    """Identity of the sites if their hosts were those of the eligible countries."""
+    found = crawl(spark, folder).select("page_id", F.regexp_replace(
+        "url", F.lit(r"^(\w+://[^/:?#]*)\.(com|net|org)(?=[/:?#]|$)"),
+        F.when(F.col("page_id") % 2 == 0, F.lit("$1.$2.ph")).otherwise(F.lit("$1.$2.sg"))).alias("url"))
+    return derived.site_pages(found)
+
+
 @query
 def site_name_disambiguation(spark, folder):
     found = stage(register.site_candidates(crawl(spark, folder)), "candidates")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import canonical_url, site_identity
+from ..functions.urls import canonical_url, site_identity_with
 from ..operators.joins import lookup, spread, stage
 from ..operators.record import article_rows, extract
 from ..operators.sites import check_sites, site_language
@@ -112,6 +112,7 @@ def pages_for(entries: DataFrame, pages: DataFrame) -> DataFrame:
 def harvest(
     links: DataFrame, pages: DataFrame, websites: DataFrame, articles: DataFrame,
     as_of: Column, creator: str = CREATOR, js: bool = False, check_duplicates: bool = True,
+    suffixes: DataFrame | None = None,
 ) -> Harvest:
     """Harvest a batch of ``links(link_id, original_url)`` against the page table.
 
@@ -119,13 +120,14 @@ def harvest(
     pages that are left are parsed. Entries with one canonical URL behave as if
     read in the order of their ids: the first that yields a record is stored, the
     later ones are duplicates. ``check_duplicates`` is off when the entries are
-    stored articles that are read again.
+    stored articles that are read again. ``suffixes(suffix)`` are the public suffixes,
+    by default those of ``public_suffixes``.
     """
     url = F.col("original_url")
-    entries = links.where("original_url is not null and original_url <> ''").select(
+    queued = links.where("original_url is not null and original_url <> ''").select(
         "link_id", url.alias("url"), canonical_url(url).alias("article_url"),
-        site_identity(url)["fqdn"].alias("fqdn"),
     )
+    entries = site_identity_with(queued, "url", suffixes).select("link_id", "url", "article_url", "site.fqdn")
     checked = check_sites(entries, websites, "link_id").select(
         "link_id", "url", "article_url", "is_eligible",
         (site_language(F.col("country")) if js else F.lit("en")).alias("site_lang"),

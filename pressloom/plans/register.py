@@ -11,9 +11,9 @@ from ..operators.sites import disambiguate, icon_url, new_site_rows, reconcile
 from ..sources.derived import sites
 
 
-def site_candidates(pages: DataFrame) -> DataFrame:
+def site_candidates(pages: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """Each site of the pages once, with the identity its first page gives."""
-    return sites(pages).withColumnRenamed("website_id", "candidate_id")
+    return sites(pages, suffixes).withColumnRenamed("website_id", "candidate_id")
 
 
 def with_icons(candidates: DataFrame, pages: DataFrame) -> DataFrame:
@@ -30,14 +30,14 @@ def with_icons(candidates: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def register_sites(
-    pages: DataFrame, websites: DataFrame, as_of: Column, creator: str
+    pages: DataFrame, websites: DataFrame, as_of: Column, creator: str, suffixes: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """New registry rows, and fqdn corrections ``(website_id, fqdn)`` of known sites.
 
     The candidates are staged, since naming refers to them several times and the
     page table should be read for them once.
     """
-    candidates = stage(site_candidates(pages), "candidates")
+    candidates = stage(site_candidates(pages, suffixes), "candidates")
     decided = stage(reconcile(candidates, websites), "decided")
     new = decided.where("action = 'INSERT'").drop("existing_id", "action")
     inserts = new_site_rows(with_icons(disambiguate(new, websites), pages), as_of, creator)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import canonical_url, site_identity
+from ..functions.urls import canonical_url, site_identity_with
 from ..vocab import NEW_SITE_COST
 
 CLOCK = "timestamp_ntz'2024-01-01 00:00:00'"
@@ -48,15 +48,15 @@ def stored_articles(pages: DataFrame) -> DataFrame:
     )
 
 
-def site_pages(pages: DataFrame) -> DataFrame:
+def site_pages(pages: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """Identity of the site of each page."""
-    return pages.select("page_id", site_identity(F.col("url")).alias("s")).select("page_id", "s.*")
+    return site_identity_with(pages.select("page_id", "url"), "url", suffixes).select("page_id", "site.*")
 
 
-def sites(pages: DataFrame) -> DataFrame:
+def sites(pages: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """Distinct sites of a page table; the first page of a site gives its id."""
     return (
-        site_pages(pages).groupBy("fqdn")
+        site_pages(pages, suffixes).groupBy("fqdn")
         .agg(F.min_by(F.struct("page_id", "website_name", "website_url", "subdomain", "tld"),
                       F.col("page_id")).alias("r"))
         .select(F.col("r.page_id").alias("website_id"), "fqdn", "r.website_name",
@@ -64,9 +64,9 @@ def sites(pages: DataFrame) -> DataFrame:
     )
 
 
-def websites(pages: DataFrame) -> DataFrame:
+def websites(pages: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """Site registry: all sites of the pages, with country, ranks and cost."""
-    return sites(pages).select(
+    return sites(pages, suffixes).select(
         "website_id", "website_name",
         F.concat("website_url", F.lit("/favicon.ico")).alias("website_icon_url"),
         "website_url",

@@ -72,7 +72,7 @@ def outcomes_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
 
 def start_harvest(
     links: DataFrame, pages: DataFrame, websites: DataFrame, out: str, checkpoint: str,
-    as_of: Callable[[], Column], creator: str = CREATOR, js: bool = False,
+    as_of: Callable[[], Column], creator: str = CREATOR, js: bool = False, suffixes: DataFrame | None = None,
 ) -> StreamingQuery:
     """Run the harvest on each micro-batch until the links at hand are read.
 
@@ -89,7 +89,8 @@ def start_harvest(
         if entries.isEmpty():
             return
         result = harvest(
-            entries.select("link_id", "original_url"), pages, websites, stored_before(spark, f"{out}/articles", batch_id), now, creator, js
+            entries.select("link_id", "original_url"), pages, websites, stored_before(spark, f"{out}/articles", batch_id), now, creator, js,
+            suffixes=suffixes,
         )
         append_articles(result.articles, f"{out}/articles", batch_id)
         updates = result.link_updates(now, js).join(entries.select("link_id", "claimed_at"), "link_id")

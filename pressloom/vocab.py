@@ -155,6 +155,52 @@ STOPWORDS = {"en": STOPWORDS_EN, "es": STOPWORDS_ES, "tl": STOPWORDS_TL}
 
 DEFAULT_SUFFIXES = ["com", "net", "org", "co.uk"]
 
+_GENERIC = """
+com net org edu gov mil int info biz name pro mobi asia travel jobs tel cat coop aero museum post
+app dev news press media blog online site website tech store shop live world today life club xyz
+top space global cloud digital agency network group email link page social studio video radio
+""".split()
+_COUNTRY = """
+ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw
+by bz ca cc cd cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz ec ee eg er es et
+eu fi fj fk fm fo fr ga gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie
+il im in io iq ir is it je jm jo jp ke kg kh ki km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv
+ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc ne nf ng ni nl no np nr
+nu nz om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sk sl
+sm sn so sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz
+va vc ve vg vi vn vu wf ws ye yt za zm zw
+""".split()
+_SECOND_LEVEL = {
+    "ae": "ac co gov mil net org sch", "ar": "com edu gob int mil net org", "au": "asn com edu gov id net org",
+    "bd": "ac com edu gov mil net org", "bh": "com edu gov net org", "bn": "com edu gov net org",
+    "bo": "com edu gob net org", "br": "adv blog com edu eng gov ind jus leg mil net org tv",
+    "cn": "ac com edu gov mil net org", "co": "com edu gov mil net nom org", "cr": "ac co ed fi go or",
+    "do": "com edu gob gov mil net org", "ec": "com edu fin gob gov info mil net org", "eg": "com edu gov mil net org",
+    "fj": "ac com gov info name net org", "gh": "com edu gov mil org", "gt": "com edu gob ind mil net org",
+    "hk": "com edu gov idv net org", "id": "ac biz co desa go mil my net or sch web",
+    "il": "ac co gov idf k12 muni net org", "in": "ac co edu firm gen gov ind mil net nic org res",
+    "jo": "com edu gov mil name net org sch", "jp": "ac ad co ed go gr lg ne or",
+    "ke": "ac co go info me mobi ne or sc", "kh": "com edu gov mil net org per",
+    "kr": "ac co es go hs kg mil ms ne or pe re sc", "kw": "com edu gov net org", "lb": "com edu gov net org",
+    "lk": "ac com edu gov net org sch", "mm": "com edu gov net org", "mo": "com edu gov net org",
+    "mt": "com edu net org", "mx": "com edu gob net org", "my": "com edu gov mil name net org",
+    "ng": "com edu gov mil mobi name net org sch", "np": "com edu gov mil net org",
+    "nz": "ac co geek gen govt health iwi kiwi maori mil net org school", "om": "co com edu gov net org",
+    "pe": "com edu gob mil net nom org", "pg": "ac com gov mil net org", "ph": "com edu gov i mil net ngo org",
+    "pk": "com edu fam gov net org web", "pl": "com edu gov info net org", "pr": "com edu gov net org",
+    "pt": "com edu gov org", "py": "com edu gov mil net org", "qa": "com edu gov mil net org",
+    "sa": "com edu gov med net org sch", "sg": "com edu gov net org per", "sv": "com edu gob org",
+    "th": "ac co go in mi net or", "tr": "av bel biz com edu gen gov info k12 mil name net org tel tv web",
+    "tw": "club com ebiz edu game gov idv mil net org", "tz": "ac co go me mil ne or sc",
+    "ua": "com edu gov in net org", "ug": "ac co com go ne or org sc",
+    "uk": "ac co gov ltd me net nhs org plc police sch", "uy": "com edu gub mil net org",
+    "ve": "co com edu gob info mil net org web", "vn": "ac biz com edu gov health info int name net org pro",
+    "za": "ac co edu gov law mil net nom org school web", "zm": "ac co com edu gov net org sch", "zw": "ac co gov mil org",
+}
+#: Suffixes of the plans: generic and country domains and the usual second levels. Not
+#: the whole public list; plans take a table instead.
+PUBLIC_SUFFIXES = _GENERIC + _COUNTRY + [f"{s}.{c}" for c, own in _SECOND_LEVEL.items() for s in own.split()]
+
 KEYWORD_DICTIONARIES = {
     "author_invalid": AUTHOR_COMMENT_KEYS + AUTHOR_FOOTER_KEYS,
     "author": AUTHOR_KEYS,

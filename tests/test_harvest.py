@@ -136,3 +136,21 @@ def test_stream_equals_batch(spark, world, result, tmp_path):
     start()
     times = {r.link_id: r["count"] for r in spark.read.parquet(f"{out}/link_status").groupBy("link_id").count().collect()}
     assert times[200] == 1 and times[1] == 1 and times[4] == 2
+
+
+def test_sites_of_the_eligible_countries(spark):
+    """Hosts under com.ph and com.sg have a domain and a name, and their sites are found."""
+    urls = [(1, "http://www.mb.com.ph/1"), (2, "http://WWW.MB.com.ph:8080/2"), (3, "https://straitstimes.com.sg/3")]
+    pages = spark.createDataFrame([(i, u, page(f"{TEXT} {i}.")) for i, u in urls], "page_id long, url string, html string")
+    links = spark.createDataFrame(urls, "link_id long, original_url string")
+    sites = spark.createDataFrame(
+        [(1, "mb.com.ph", "Mb", "Philippines", False), (2, "straitstimes.com.sg", "Straitstimes", "Singapore", False)],
+        "website_id long, fqdn string, website_name string, country string, is_aggregator boolean")
+    stored = spark.createDataFrame([], "article_url string")
+    found = {r.page_id: r for r in derived.site_pages(pages).collect()}
+    assert [found[i].website_name for i in (1, 2, 3)] == ["Mb", "Mb", "Straitstimes"]
+    assert [(found[i].domain, found[i].tld) for i in (1, 3)] == [("mb", "com.ph"), ("straitstimes", "com.sg")]
+    got = plan.harvest(links, pages, sites, stored, as_of()).outcomes
+    assert {r.link_id: r.outcome for r in got.collect()} == {i: plan.OUTCOME_SCRAPED for i, _ in urls}
+    table = spark.createDataFrame([("com",), ("ph",)], "suffix string")
+    assert {r.tld for r in derived.sites(pages, table).collect()} == {"ph", ""}
