@@ -397,6 +397,16 @@ def trigram_similarity_join(spark, folder):
     )
 
 
+@query
+def trigram_similarity_join_documents(spark, folder):
+    """The words of all documents against those of the benchmark."""
+    words = _words(table(spark, folder, "benchmark"), "text", "word")
+    return similarity.similarity_join(_words(documents(spark, folder), "text", "value"), words).select(
+        "value", "word", F.col("matches").cast("long").alias("matches"),
+        F.col("similarity").cast("long").alias("similarity"),
+    )
+
+
 @query
 def content_type_html(spark, folder):
     kind = F.col("content_type")

@@ -18,6 +18,9 @@ from ..operators.joins import BROADCAST_BYTES, repartitioned, stage
 #: A word counts as similar from this percentage on, before rounding.
 THRESHOLD = 49
 
+#: Values of one trigram that meet the dictionary in one place where both are shuffled.
+PER_GRAM = 20_000
+
 _PAD = "  "
 
 
@@ -127,7 +130,8 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
     pair has to be made distinct, and it is verified on both trigram arrays in
     the same task, which makes the result exact. The dictionary side is broadcast
     if its trigram table, whose size is computed first, is small enough; else
-    both sides are shuffled by trigram.
+    both sides are shuffled by trigram, and the values of a trigram with more than
+    ``PER_GRAM`` of them are dealt over salted keys, each with a copy of its words.
     """
     # Both inputs are used several times and may be costly to compute.
     known = stage(dictionary.select("word").where("word <> ''").distinct(), "words")
@@ -156,16 +160,25 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
     width = F.length("word") + 2
     bytes_needed = known.agg(F.sum(width * (width * 20 + 100))).first()[0] or 0
+    keys, side = ["gram"], F.broadcast(ranked)
+    if bytes_needed > BROADCAST_BYTES:
+        # One row for each trigram that needs more than one key.
+        hot = stage(vals.groupBy("gram").agg(F.ceil(F.count("*") / PER_GRAM).cast("int").alias("salts")).where("salts > 1"), "hot")
+        salts = F.coalesce("salts", F.lit(1))
+        keys = ["gram", "salt"]
+        side = ranked.join(F.broadcast(hot), "gram", "left").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+        vals = vals.join(F.broadcast(hot), "gram", "left").withColumn(
+            "salt", F.pmod(F.xxhash64("value"), salts).cast("int")).drop("salts")
 
     def pairs(some_values: DataFrame, most: Column, matches: Column) -> DataFrame:
-        side = F.broadcast(ranked) if bytes_needed <= BROADCAST_BYTES else ranked
         need = F.ceil(F.col("n") * THRESHOLD / F.lit(100.0) / most)
         meets_earlier = F.arrays_overlap(F.slice("word_grams", F.lit(1), F.col("rank")), "distinct_grams")
         # Cheap test first: a conjunction may be evaluated in any order, this is not.
         met = F.when(F.col("rank") <= F.size("word_grams") - need, ~meets_earlier)
         percent = F.col("matches") * F.lit(100.0) / F.col("n")
         return (
-            some_values.join(side, "gram")
+            some_values.join(side, keys)
             .where(F.coalesce(met, F.lit(False)))
             .select("value", "word", "n", matches.alias("matches"))
             .where(percent >= THRESHOLD)

@@ -5,7 +5,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from pressloom import vocab
-from pressloom.functions import similarity as S
+from pressloom.functions import similarity as S, text
 from pressloom.operators.content import _Words
 
 DICTIONARIES = {
@@ -101,3 +101,30 @@ def test_growing_dictionary_equals_brute_force(value, words):
     known = _Words(words)
     assert known.best(value) == (None if best is None else round(best[1]))
     assert known.hit(value) == bool(hits)
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_join_of_document_words_matches_brute_force(spark, tmp_path, monkeypatch, limit):
+    """Broadcast, and shuffled with every trigram of more than three values salted."""
+    from checks.queries import QUERIES
+
+    if limit is not None:
+        monkeypatch.setattr(S, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(S, "PER_GRAM", 3)
+    source = "/root/testdata/sf0.001"
+    for name, n in (("documents", 12), ("benchmark", 2)):
+        spark.read.parquet(f"{source}/{name}.parquet").limit(n).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    def words(name):
+        tokens = text.content_tokens(F.col("text"), vocab.STOPWORDS_EN)
+        rows = spark.read.parquet(f"{tmp_path}/{name}.parquet").select(F.explode(tokens).alias("w")).distinct().collect()
+        return {r.w for r in rows if r.w}
+    want = set()
+    values = {v: S.word_trigrams(v) for v in words("documents")}
+    for word in words("benchmark"):
+        grams = S.word_trigrams(word)
+        for value, own in values.items():
+            matches = sum(g in set(grams) for g in own)
+            if matches * 100.0 / len(grams) >= S.THRESHOLD:
+                want.add((value, word, matches, round(matches * 100.0 / len(grams))))
+    got = [tuple(r) for r in QUERIES["trigram_similarity_join_documents"](spark, str(tmp_path)).collect()]
+    assert len(values) > 100 and want and len(got) == len(want) and set(got) == want
