@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, language, mix, near, pii, quality, substring, toxicity, urlrules
+from . import (
+    chat, decontaminate, language, mix, near, pii, products, quality, resample, substring, toxicity, urlrules, whiten,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,6 +59,18 @@ def op9_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return substring.without_repeats(_table(spark, folder, "documents")).drop("kept_text")
 
 
+def op11_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    return products.top_products(_table(spark, folder, "embeddings"))
+
+
+def op12_whiten_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten.whitened(_table(spark, folder, "embeddings"))
+
+
+def op13_resample_to_target(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resampled(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_identify_language": op1_identify_language,
     "op2_decontaminate": op2_decontaminate,
@@ -68,6 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_remove_repeats": op9_remove_repeats,
     "op10_personal_data": op10_personal_data,
+    "op11_top_products": op11_top_products,
+    "op12_whiten_embeddings": op12_whiten_embeddings,
+    "op13_resample_to_target": op13_resample_to_target,
 }
 
 SUBSTRING_SQL = r"""
@@ -91,4 +108,6 @@ ORACLE: dict[str, str] = {
     "op6_url_rules": urlrules.SQL,
     "op7_format_chat": chat.SQL,
     "op9_remove_repeats": SUBSTRING_SQL,
+    "op11_top_products": products.SQL,
+    "op13_resample_to_target": resample.SQL,
 }
