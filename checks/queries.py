@@ -763,16 +763,15 @@ def stream_harvest(spark, folder):
     # Then some links once more as they were, and some that were put back.
     links = derived.open_links(found).withColumn(
         "date_created", F.expr("timestampadd(HOUR, -cast(link_id as int), timestamp_ntz'2024-03-01 00:00:00')"))
-    part = F.ntile(4).over(Window.orderBy("link_id"))
-    numbered = links.withColumn("part", part)
+    numbered = queue.even_split(links, "link_id", 4)
     requeued = links.where("link_id % 10 = 3").withColumn("date_updated", F.expr("timestamp_ntz'2024-06-01 00:00:00'"))
     files = [numbered.where(F.col("part") == k).drop("part") for k in (1, 2, 3, 4)]
     for rows in [*files, links.where("link_id % 10 = 1"), requeued]:
-        rows.coalesce(1).write.mode("append").parquet(queue_folder)
+        rows.write.mode("append").parquet(queue_folder)
     out = f"{queue_folder}-out"
-    run = harvest_stream.start_harvest(
-        harvest_stream.link_stream(spark, queue_folder, files_per_trigger=1),
+    files_each = max(1, len(spark.read.parquet(queue_folder).inputFiles()) // 6)
+    harvest_stream.harvest_available(
+        harvest_stream.link_stream(spark, queue_folder, files_per_trigger=files_each),
         found, derived.websites(found), out, f"{queue_folder}-checkpoint", as_of,
     )
-    run.awaitTermination()
     return spark.read.parquet(f"{out}/link_status").select("link_id", "status", "error_status")

@@ -1,19 +1,33 @@
-"""The harvest as a stream of links."""
+"""The harvest as a stream of links.
+
+What the harvest must remember from one batch to the next is keyed state: for each
+canonical URL which links were read, when they were due, and whether an article of it is
+stored. A batch looks up the keys it holds and no others, whatever came before it.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from ..functions.urls import canonical_url
 from ..operators.joins import stage
 from ..plans.harvest import CREATOR, harvest
-from ..schemas import ARTICLES, LINKS
+from ..schemas import LINKS
 from ..sources.store import append_articles
 from ..vocab import QUEUED
 
+#: State store that holds its keys on disk, and reads and writes single ones.
+STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER_SETTING = "spark.sql.streaming.stateStore.providerClass"
+_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+#: A claim without a date comes before all dated ones.
+_UNDATED = -(2 ** 63)
+
 
 def link_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
     """Waiting links that arrive as Parquet files."""
@@ -24,81 +38,140 @@ def link_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) ->
     )
 
 
-def claims(links: DataFrame) -> DataFrame:
-    """One entry per link with ``claimed_at``, when it last became due: at its last
-    update, or at its creation. Repeats of a link within one batch are its newest claim."""
-    due = F.coalesce("date_updated", "date_created")
-    return links.groupBy("link_id").agg(F.max(F.struct(due.alias("claimed_at"), "original_url")).alias("c")).select(
-        "link_id", "c.original_url", "c.claimed_at"
+def settled_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Canonical URLs of which a batch has stored an article. Files that the state has
+    taken in are removed, so listing them takes no longer as the stream grows older."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return (
+        spark.readStream.schema("article_url string").option("cleanSource", "delete")
+        .option("recursiveFileLookup", "true").parquet(path)
     )
 
 
-def unread(entries: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Entries without an outcome of the same or a later claim.
-
-    Nothing goes by its date: a link of any age is read when it arrives, a repeated
-    delivery is not read again, and one that was put back into the queue is. Other
-    entries with the same canonical URL stay, because each must get an outcome: the
-    harvest marks them as duplicates, in one batch and across batches.
-    """
-    read = outcomes.groupBy("link_id").agg(
-        F.max("claimed_at").alias("__read_at"), F.count(F.lit(1)).alias("__times")
-    )
-    later = F.col("claimed_at") > F.col("__read_at")
-    undated = F.col("claimed_at").isNotNull() & F.col("__read_at").isNull()
-    return entries.join(read, "link_id", "left").where(F.col("__times").isNull() | later | undated).select(*entries.columns)
+def claims(links: DataFrame) -> DataFrame:
+    """Links as events of the state, with ``claimed_at``, when they last became due: at
+    their last update, or at their creation, in microseconds."""
+    due = F.coalesce("date_updated", "date_created")
+    micros = F.coalesce(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), due), F.lit(_UNDATED))
+    return links.select(
+        canonical_url(F.col("original_url")).alias("article_url"),
+        "link_id", "original_url", micros.alias("claimed_at"))
 
 
-def _earlier(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
-    """What batches before this one wrote. A batch that is run again must not see what
-    its first run wrote."""
-    jvm = spark._jvm.org.apache.hadoop.fs
-    folder = jvm.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], schema)
-    stored = spark.read.schema(schema + ", batch_id bigint").parquet(path)
-    return stored.where(F.col("batch_id") < batch_id).drop("batch_id")
+ENTRIES = "link_id bigint, original_url string, article_url string, is_stored boolean"
 
 
-def stored_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """Articles of earlier batches."""
-    return _earlier(spark, path, batch_id, ARTICLES)
+class ReadState(StatefulProcessor):
+    """State of one canonical URL: its links with their last claims, and whether an
+    article of it is stored.
 
+    Nothing goes by its date: a link of any age is read when it arrives, a repeated
+    delivery is not read again, and one that was put back into the queue is. Other links
+    of the same URL go on, because each must get an outcome: the harvest marks them as
+    duplicates, in one batch and across batches.
+    """
 
-def outcomes_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """Claims that earlier batches gave an outcome."""
-    return _earlier(spark, path, batch_id, "link_id bigint, claimed_at timestamp_ntz")
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.stored = handle.getValueState("stored", "is_stored boolean")
+        self.read = handle.getMapState("read", "link_id bigint", "claimed_at bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest: dict[int, tuple[int, str]] = {}
+        settled = False
+        for part in rows:
+            settled = settled or bool(part.link_id.isna().any())
+            entries = part[part.link_id.notna()]
+            for link, url, claim in zip(entries.link_id, entries.original_url, entries.claimed_at, strict=True):
+                newest[int(link)] = max(newest.get(int(link), (_UNDATED, url)), (int(claim), url))
+        if settled:
+            self.stored.update((True,))
+        is_stored = settled or (bool(newest) and self.stored.exists())
+        fresh = []
+        for link, (claim, url) in newest.items():
+            known = self.read.getValue((link,)) if self.read.containsKey((link,)) else None
+            if known is None or claim > known[0]:
+                self.read.updateValue((link,), (claim,))
+                fresh.append((link, url, key[0], is_stored))
+        yield pd.DataFrame(fresh, columns=["link_id", "original_url", "article_url", "is_stored"])
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.stored.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+def unread(links: DataFrame, settled: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Entries of a stream of links that are to be read (``ENTRIES``).
+
+    ``settled`` is the stream of URLs stored by this stream; ``stored(article_url)`` holds
+    those stored before its first batch, which become state once.
+    """
+    entries = claims(links)
+    nothing = {"link_id": "bigint", "original_url": "string", "claimed_at": "bigint"}
+    marks = settled.select("article_url", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()])
+    first = None if stored is None else stored.select("article_url").where(
+        "article_url is not null").distinct().groupBy("article_url")
+    # Waiting batches have no timers; the output is what is due now.
+    return entries.unionByName(marks).groupBy("article_url").transformWithStateInPandas(
+        ReadState(), ENTRIES, "Append", "None", first)
 
 
 def start_harvest(
     links: DataFrame, pages: DataFrame, websites: DataFrame, out: str, checkpoint: str,
     as_of: Callable[[], Column], creator: str = CREATOR, js: bool = False, suffixes: DataFrame | None = None,
+    stored: DataFrame | None = None, interval: str = "0 seconds",
 ) -> StreamingQuery:
-    """Run the harvest on each micro-batch until the links at hand are read.
+    """Run the harvest on each micro-batch of links until the query is stopped.
 
-    Articles and link states go to ``out/articles`` and ``out/link_status``, one
-    folder per batch; a batch that is repeated after a failure overwrites its own.
-    An empty queue is an empty batch.
+    Articles and link states go to ``out/articles`` and ``out/link_status``, one folder
+    per batch, and the URLs stored to ``out/settled``, from where the next batch takes
+    them into the state. A batch that is repeated after a failure starts from the state
+    before it and overwrites its own folders. ``stored`` are articles from before the
+    first batch. An empty queue is an empty batch.
     """
+    spark = links.sparkSession
+    folder = f"{out}/settled"
+    waiting = unread(links, settled_stream(spark, folder), stored)
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         now = as_of()
-        # The batch is read from its source only once.
-        done = outcomes_before(spark, f"{out}/link_status", batch_id)
-        entries = stage(unread(claims(batch), done), "batch")
+        # The state is read and written once, here.
+        entries = stage(batch, "batch")
         if entries.isEmpty():
             return
+        known = entries.where("is_stored").select("article_url").distinct()
         result = harvest(
-            entries.select("link_id", "original_url"), pages, websites, stored_before(spark, f"{out}/articles", batch_id), now, creator, js,
-            suffixes=suffixes,
-        )
+            entries.select("link_id", "original_url"), pages, websites, known, now, creator, js, suffixes=suffixes)
         append_articles(result.articles, f"{out}/articles", batch_id)
-        updates = result.link_updates(now, js).join(entries.select("link_id", "claimed_at"), "link_id")
-        updates.write.mode("overwrite").parquet(f"{out}/link_status/batch_id={batch_id}")
-
-    return (
-        links.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        result.link_updates(now, js).write.mode("overwrite").parquet(f"{out}/link_status/batch_id={batch_id}")
+        articles = spark.read.parquet(f"{out}/articles/batch_id={batch_id}")
+        # Last: from here on the batch counts as stored. Its files are listed after it ends.
+        articles.select("article_url").write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+
+    before = spark.conf.get(_PROVIDER_SETTING, None)
+    spark.conf.set(_PROVIDER_SETTING, STATE_PROVIDER)
+    try:
+        # A query keeps the settings of its start.
+        return (
+            waiting.writeStream.foreachBatch(run)
+            .option("checkpointLocation", checkpoint)
+            .trigger(processingTime=interval)
+            .start()
+        )
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER_SETTING)
+        else:
+            spark.conf.set(_PROVIDER_SETTING, before)
+
+
+def harvest_available(*args, **options) -> StreamingQuery:
+    """Start a harvest, wait until all links at hand are read, and stop it."""
+    query = start_harvest(*args, **options)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
