@@ -134,11 +134,11 @@ def candidates(text: Column, base: Column) -> Column:
     """Candidate spans of a text that touch no base span, with the labelers' votes and
     the features of the classifier: structs (start, end, votes, features)."""
     text = F.coalesce(text, F.lit(""))
-    spans = _spans(text, CANDIDATE, text.rlike("[0-9]"))
-    free = F.filter(
-        F.coalesce(spans, F.array().cast("array<struct<match: string, start: int, end: int>>")),
-        lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
+    spans = F.coalesce(
+        _spans(text, CANDIDATE, text.rlike("[0-9]")), F.array().cast("array<struct<match: string, start: int, end: int>>"))
+    # Bound first: what a lambda captures is evaluated for each candidate again.
+    free = let(base, lambda taken: F.filter(
+        spans, lambda s: ~F.exists(taken, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
 
     def describe(s: Column) -> Column:
         m = s["match"]
@@ -308,29 +308,47 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 def masked_text(text: Column, spans: Column) -> Column:
     """A text with every span replaced by its kind in brackets; overlapping spans are
-    one, named after the first."""
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        begin = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        fresh = F.concat(acc["out"], F.array(begin, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"),
-        )
+    one, named after the first.
+
+    Spans are taken in groups, each from its own piece of the text: a place in a long
+    text is found by walking there, and an array is copied when it grows, so either one
+    span after another would cost the square of their number.
+    """
+    def step(piece: Column, base: Column) -> Callable[[Column, Column], Column]:
+        def add(acc: Column, s: Column) -> Column:
+            begin = F.substring(piece, acc["at"] - base + 1, s["start"] - acc["at"])
+            fresh = F.concat(acc["out"], F.array(begin, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+            return F.struct(
+                F.greatest(acc["at"], s["end"]).alias("at"),
+                F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"),
+            )
+        return add
+
+    def add_group(acc: Column, group: Column) -> Column:
+        begin = F.struct(acc["at"].alias("at"), F.array().cast("array<string>").alias("out"))
+        last = F.array_max(F.transform(group, lambda s: s["end"]))
+        piece = F.substring(text, acc["at"] + 1, F.greatest(last - acc["at"], F.lit(0)))
+        return let(piece, lambda t: F.aggregate(group, begin, step(t, acc["at"]), lambda done: F.struct(
+            done["at"].alias("at"), F.concat(acc["out"], F.array(F.array_join(done["out"], ""))).alias("out"))))
+
+    def replaced(ordered: Column) -> Column:
+        last = F.floor((F.size(ordered) - 1) / _TOGETHER).cast("int")
+        groups = F.transform(F.sequence(F.lit(0), last), lambda g: F.slice(ordered, g * _TOGETHER + 1, _TOGETHER))
+        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+        return let(groups, lambda gs: F.aggregate(gs, empty, add_group, lambda done: F.concat(
+            F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.length(text)))))
 
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    done = F.aggregate(ordered, empty, step)
-    rest = F.substring(text, done["at"] + 1, F.length(text))
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(done["out"], ""), rest)).otherwise(text)
+    return F.when(F.size(spans) > 0, let(ordered, replaced)).otherwise(text)
 
 
 def masked(docs: DataFrame) -> DataFrame:
     """The documents with their personal data masked in ``text``; texts without any
     stay as they are, null ones too. ``n_chars``, where there is one, follows the text."""
-    model = train(stage(extracted(docs.select("text")).select("candidates").filter("size(candidates) > 0"), "candidates"))
     shielded = docs.select(F.struct(*docs.columns).alias("__row"), "text")
-    found = extracted(shielded).withColumn("__text", masked_text(F.col("text"), F.concat("base", added_spans(model))))
+    found = stage(extracted(shielded), "spans")
+    model = train(found.select("candidates"))
+    found = found.withColumn("__text", masked_text(F.col("text"), F.concat("base", added_spans(model))))
 
     def column(name: str) -> Column:
         own = F.col("__row")[name]

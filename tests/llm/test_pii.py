@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -97,3 +99,39 @@ def test_long_runs_take_no_longer_than_their_length(docs):
     rows = [(0, "4" * 200_000), (1, "1 " * 100_000), (2, "a" * 200_000 + "@"), (3, "x.y%z+" * 30_000), (4, "+" * 50_000 + "1")]
     got = pii.personal_data(docs(rows)).collect()
     assert all(r.n_email + r.n_ip + r.n_card + r.n_phone == 0 for r in got)
+
+
+def test_masking_takes_time_in_proportion(docs):
+    def seconds(n):
+        text = " ".join(f"word{i % 977}x{i % 13}é bo{i}@mail{i % 7}.org" for i in range(n))
+        df = docs([(1, text)])
+        began = time.perf_counter()
+        (row,) = pii.masked(df).collect()
+        spent = time.perf_counter() - began
+        assert row.text.count("[EMAIL]") == n and "@" not in row.text
+        return spent
+
+    seconds(500)
+    few, many = seconds(1_000), seconds(4_000)
+    assert many < 8 * few + 5
+
+
+def test_masked_text_matches_plain_replacement(spark):
+    rng = random.Random(5)
+    text = "".join(rng.choice("aé漢\U0001F600 ") for _ in range(3_000))
+    spans = []
+    for _ in range(700):
+        start = rng.randrange(2_950)
+        spans.append((rng.choice(["email", "ip"]), start, start + rng.randrange(1, 40)))
+    df = spark.createDataFrame([(text, spans), (text, spans[:1]), (text, [])], f"text string, spans array<{pii.SPAN}>")
+    got = [r[0] for r in df.select(pii.masked_text(F.col("text"), F.col("spans"))).collect()]
+
+    def plain(spans):
+        at, out = 0, []
+        for start, end, kind in sorted((s, e, k) for k, s, e in spans):
+            if start >= at:
+                out += [text[at:start], f"[{kind.upper()}]"]
+            at = max(at, end)
+        return "".join(out) + text[at:]
+
+    assert got == [plain(spans), plain(spans[:1]), text]

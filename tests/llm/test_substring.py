@@ -66,5 +66,6 @@ def test_window_hashes_tell_windows_apart():
 def test_odd_rows(odd, odd_rows, none):
     got = result(odd)
     assert sum(map(len, got.values())) == len(odd_rows)
-    assert got == brute([r[:2] for r in odd_rows])
+    want = brute([r[:2] for r in odd_rows])
+    assert {i: sorted(rows) for i, rows in got.items()} == {i: sorted(rows) for i, rows in want.items()}
     assert substring.without_repeats(none).count() == 0
