@@ -148,7 +148,7 @@ def candidates(text: Column, base: Column) -> Column:
         hexadecimal = token.rlike("^[0-9a-f]{16,}$") | token.rlike("^[0-9A-F]{16,}$")
         known = token.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$") | (hexadecimal & (digits > 0)) | token.rlike("^(?:ghp_|sk-|xox[bp]-)")
         turns = F.regexp_count(token, F.lit("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])"))
-        plain = token.rlike("^[0-9/-]+$") | token.rlike("^[0-9]{4}-[0-9]{2}") | (token.rlike("^[A-Za-z]*[a-z]{3,}") & (turns <= 2))
+        plain = token.rlike("^[0-9/-]+$") | token.rlike("^[0-9]{4}-[0-9]{2}") | (token.rlike("^[A-Za-z]*[a-z]{3,}") & (turns <= 3))
 
         def vote(yes: Column, no: Column | None = None) -> Column:
             out = F.when(yes, F.lit(1))
@@ -158,7 +158,7 @@ def candidates(text: Column, base: Column) -> Column:
             vote(known, token.rlike("^[a-z]+[0-9]{0,3}$")),
             vote(name.isin(*SECRET_NAMES), (name != "") & ~name.isin(*SECRET_NAMES)),
             vote(m.rlike("[=:]")),
-            vote(turns >= 3, turns <= 1),
+            vote(turns >= 4, turns <= 1),
             vote(F.lit(False), plain),
         )
         features = F.array(
@@ -355,7 +355,7 @@ def masked(docs: DataFrame) -> DataFrame:
         if name == "text":
             return F.col("__text").alias(name)
         if name == "n_chars":
-            return F.when(F.col("__text") == F.col("text"), own).otherwise(F.length("__text").cast(docs.schema[name].dataType)).alias(name)
+            return F.when(F.col("__text").eqNullSafe(F.col("text")), own).otherwise(F.length("__text").cast(docs.schema[name].dataType)).alias(name)
         return own.alias(name)
 
     return found.select(*map(column, docs.columns))
