@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pressloom import vocab
 
-from .queries import AS_OF
+from .queries import AS_OF, SUFFIX_RULES
 
 ORACLE: dict[str, str] = {}
 
@@ -108,6 +108,36 @@ ORACLE["site_identity"] = ORACLE["site_identity_suffix_table"] = f"""
 WITH {SITE} SELECT page_id, domain, tld, subdomain, netloc, fqdn, website_name, website_url FROM site
 """
 
+ORACLE["site_identity_national"] = f"""
+WITH hosts AS (SELECT page_id, regexp_replace({HOST}, '\\.(com|net|org)$', '') AS stem, {HOST} AS h FROM pages),
+named AS (SELECT page_id, h <> stem AS moved, CASE WHEN h <> stem THEN h || CASE WHEN page_id % 2 = 0 THEN '.ph' ELSE '.sg' END ELSE h END AS netloc,
+  string_split(stem, '.') AS l, substr(h, length(stem) + 2) || CASE WHEN page_id % 2 = 0 THEN '.ph' ELSE '.sg' END AS moved_tld FROM hosts),
+parts AS (SELECT page_id, netloc, l[len(l) - CASE WHEN moved THEN 0 ELSE 1 END] AS domain,
+  CASE WHEN moved THEN moved_tld ELSE l[len(l)] END AS tld,
+  array_to_string(l[1:len(l) - CASE WHEN moved THEN 1 ELSE 2 END], '.') AS subdomain FROM named)
+SELECT page_id, domain, tld, subdomain, netloc,
+  CASE WHEN subdomain IN ('', 'www') THEN '' ELSE replace(subdomain || '.', 'www.', '') END || domain || '.' || tld AS fqdn,
+  upper(domain[1]) || lower(domain[2:]) AS website_name, 'http://' || netloc AS website_url FROM parts
+"""
+
+ORACLE["public_suffix_rules"] = f"""
+WITH moved AS (SELECT page_id, regexp_extract(lower({HOST}), '^(.*)\\.', 1) || '.'
+    || ['ck', 'www.ck', 'x.kobe.jp', 'city.kobe.jp', 'ac.jp', 'com'][page_id % 6 + 1] AS host FROM pages),
+hosts AS (SELECT page_id, CASE WHEN page_id % 10 = 3 THEN regexp_extract(host, '([^.]*\\.[^.]*)$', 1) ELSE host END AS host FROM moved),
+labels AS (SELECT *, string_split(host, '.') AS l FROM hosts),
+tails AS (SELECT page_id, k, array_to_string(l[k:], '.') AS tail, array_to_string(l[k + 1:], '.') AS after, len(l) - k + 1 AS n
+  FROM labels, unnest(range(1, len(l) + 1)) r(k)),
+rules AS (SELECT unnest({_list(SUFFIX_RULES)}) AS rule),
+hits AS (SELECT page_id, CASE WHEN rule[1] = '!' THEN after ELSE tail END AS suffix, rule[1] = '!' AS spared, n
+  FROM tails JOIN rules ON rule = tail OR rule = '!' || tail OR (rule = '*.' || after AND after <> '')),
+best AS (SELECT page_id, arg_max(suffix, (spared::INT, n)) AS suffix FROM hits GROUP BY page_id),
+found AS (SELECT page_id, host, coalesce(suffix, '') AS suffix,
+  string_split(CASE WHEN suffix <> host THEN substr(host, 1, length(host) - length(suffix) - 1) ELSE '' END, '.') AS l
+  FROM hosts LEFT JOIN best USING (page_id))
+SELECT page_id, host, suffix, CASE WHEN l[len(l)] = '' THEN '' ELSE suffix END AS tld, l[len(l)] AS domain,
+  array_to_string(l[1:len(l) - 1], '.') AS subdomain FROM found
+"""
+
 _NAMED = """
 first AS (SELECT *, row_number() OVER (PARTITION BY website_name ORDER BY website_id) = 1 AS keeps1 FROM cand),
 second AS (SELECT *, CASE WHEN keeps1 OR subdomain IN ('', 'www') THEN website_name
@@ -387,6 +417,18 @@ SELECT conv_id, coalesce(authors, names) AS authors FROM every LEFT JOIN kept US
 
 BARE = "regexp_replace(html, '(?s)<script>.*?</script>', '', 'g')"
 
+#: Tags in order: an element's depth is the number of elements opened and not yet closed
+#: before it. The pages close what they open.
+ORACLE["node_tree"] = f"""
+WITH tags AS (SELECT page_id, unnest(l) AS t, unnest(range(len(l))) AS pos FROM (
+  SELECT page_id, regexp_extract_all(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+    '(?s)(<script[^>]*>).*?(</script>)', '\\1\\2', 'g'), '<(/?[a-zA-Z][a-zA-Z0-9]*)[^>]*>', 1) AS l FROM pages)),
+steps AS (SELECT page_id, pos, lower(t) AS tag, CASE WHEN t[1] = '/' THEN -1
+  WHEN list_contains({_list(vocab.VOID_TAGS)}, lower(t)) THEN 0 ELSE 1 END AS step FROM tags),
+deep AS (SELECT *, sum(step) OVER (PARTITION BY page_id ORDER BY pos) - greatest(step, 0) AS depth FROM steps)
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS node_id, tag, depth::BIGINT AS depth FROM deep WHERE step >= 0
+"""
+
 ORACLE["tag_histogram"] = """
 WITH t AS (SELECT unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)', 1)) AS tag
            FROM (SELECT regexp_replace(html, '(?s)(<script>).*?</script>', '\\1', 'g') AS html FROM pages))

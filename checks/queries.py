@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pressloom import vocab
-from pressloom.functions import dates, similarity, text, urls
+from pressloom.functions import dates, similarity, suffix, text, urls
 from pressloom.functions.columns import nonempty, strip
 from pressloom.operators import author, content, nodes, pubdate, queue, record, sites, title
 from pressloom.operators.dom import parse_html
@@ -134,6 +133,21 @@ def site_identity_national(spark, folder):
     return derived.site_pages(found)
 
 
+#: Rules with any label before a suffix, and exceptions to them.
+SUFFIX_RULES = ["com", "jp", "*.ck", "!www.ck", "*.kobe.jp", "!city.kobe.jp", "ac.jp"]
+
+
+@query
+def public_suffix_rules(spark, folder):
+    """Hosts of the pages under domains with such rules."""
+    ends = F.array(*map(F.lit, ["ck", "www.ck", "x.kobe.jp", "city.kobe.jp", "ac.jp", "com"]))
+    moved = crawl(spark, folder).select("page_id", F.concat_ws(
+        ".", F.regexp_extract(urls.host(F.col("url")), r"^(.*)\.", 1), F.get(ends, (F.col("page_id") % 6).cast("int"))).alias("host"))
+    hosts = moved.withColumn("host", F.when(F.col("page_id") % 10 == 3, F.regexp_extract("host", r"([^.]*\.[^.]*)$", 1)).otherwise(F.col("host")))
+    return hosts.select("page_id", "host", suffix.public_suffix(F.col("host"), SUFFIX_RULES).alias("suffix"),
+                        suffix.host_parts(F.col("host"), SUFFIX_RULES).alias("p")).select("page_id", "host", "suffix", "p.*")
+
+
 @query
 def site_name_disambiguation(spark, folder):
     found = stage(register.site_candidates(crawl(spark, folder)), "candidates")
@@ -552,6 +566,12 @@ def node_rows(spark, folder):
     )
 
 
+@query
+def node_tree(spark, folder):
+    """Place, name and depth of every element."""
+    return nodes.node_table(parsed(spark, folder, drop=())).select("page_id", "node_id", "tag", "depth")
+
+
 @query
 def tag_histogram(spark, folder):
     return nodes.tag_histogram(parsed(spark, folder, drop=()))
@@ -560,7 +580,7 @@ def tag_histogram(spark, folder):
 @query
 def strip_tags(spark, folder):
     """Elements per page that are left without navigation, styles and scripts."""
-    found = nodes.drop_tags(nodes.node_table(parsed(spark, folder, drop=())), ["nav", "style", "script"])
+    found = nodes.node_table(parsed(spark, folder, drop=()), lambda n: n["tag"].isin("nav", "style", "script"))
     return found.groupBy("page_id").agg(F.count("*").alias("n_nodes"), F.count_if(F.col("tag") == "a").alias("n_links"))
 
 
@@ -658,7 +678,8 @@ def extract_date(spark, folder):
 
 @query
 def candidate_lists(spark, folder):
-    found = parsed(spark, folder).select("page_id", content.candidate_lists(F.col("dom")).alias("c"))
+    found = parsed(spark, folder).select("page_id", content.candidate_nodes(F.col("dom")).alias("c")).select(
+        "page_id", content.candidate_lists(F.col("c")).alias("c"))
     def count(lists: Column) -> Column:
         return F.when(lists.isNotNull(), F.size(lists).cast("long"))
 

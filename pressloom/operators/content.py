@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from .nodes import has_attribute, inside, link_heavy, marked_by, outside_all, subtree_roots
-from ..functions.columns import first_where, let, nonempty, strip
+from .nodes import alive, has_attribute, inside, is_alive, link_heavy, live_counts, marked_by, string_counts
+from ..functions.columns import distinct, first_where, grouped, let, nonempty, strip
 from ..functions.similarity import THRESHOLD, word_trigrams
 from ..vocab import (
     CONTENT_DROP_TAGS, CONTENT_INVALID_KEYS, CONTENT_KEYS, CONTENT_TAGS, stopwords_for,
@@ -34,110 +34,92 @@ SHORT_MATCH = 70
 GROWTH_SHARE = 0.33
 
 
-def pruned_roots(nodes: Column) -> Column:
-    """Subtrees to remove: elements with an invalid class or id unless they also
-    carry a content key, and elements of the dropped tags."""
-    return subtree_roots(
-        nodes,
-        lambda n: n["tag"].isin(*CONTENT_DROP_TAGS)
-        | (
-            marked_by(n, CONTENT_INVALID_KEYS, only=("class", "id"))
-            & ~marked_by(n, CONTENT_KEYS)
-        ),
+def _is_pruned(n: Column) -> Column:
+    """Elements to remove with all below them: those with an invalid class or id unless
+    they also carry a content key, and those of the dropped tags."""
+    return n["tag"].isin(*CONTENT_DROP_TAGS) | (
+        marked_by(n, CONTENT_INVALID_KEYS, only=("class", "id")) & ~marked_by(n, CONTENT_KEYS)
     )
 
 
-def _facts(nodes: Column, dropped: Column) -> Column:
-    """What the later steps need to know about each surviving node."""
-    return F.transform(
-        F.filter(nodes, lambda n: outside_all(n["node_id"], dropped)),
-        lambda n: F.struct(
-            n["node_id"].alias("node_id"), n["end_id"].alias("end_id"),
-            n["s_from"].alias("s_from"), n["s_to"].alias("s_to"), n["tag"].alias("tag"),
-            n["attrs"].alias("attrs"),
-            ((n["tag"] == "a") & has_attribute(n, "href")).alias("is_link"),
-            marked_by(n, CONTENT_KEYS).alias("is_content"),
-        ),
-    )
+def _page(nodes: Column, strings: Column, living: Column) -> Column:
+    """What the later steps need to know: ``nodes``, one entry per node of the page (null
+    where it is removed) with the live strings and links below it, ``texts``, the stripped
+    text of each string (null where it is blank or removed), and the ``body``.
 
+    Strings and links are summed up once along the page; the count of any subtree is the
+    difference of two sums.
+    """
+    texts = F.transform(strings, lambda s: F.when(is_alive(living, s["node_id"]), nonempty(strip(s["text"]))))
+    links = F.zip_with(nodes, living, lambda n, live: live & (n["tag"] == "a") & has_attribute(n, "href"))
 
-def _live_texts(strings: Column, dropped: Column) -> Column:
-    """Stripped text of each string; null where it is blank or removed."""
-    return F.transform(
-        strings,
-        lambda s: F.when(outside_all(s["node_id"], dropped), nonempty(strip(s["text"]))),
-    )
+    def facts(texts: Column) -> Column:
+        counted = F.zip_with(
+            string_counts(nodes, texts), live_counts(nodes, links),
+            lambda t, l: F.struct(t.alias("n_texts"), (~link_heavy(l, t)).alias("is_good")))
+        each = let(counted, lambda c: F.transform(nodes, lambda n, i: F.when(F.get(living, i), F.struct(
+            n["node_id"].alias("node_id"), n["end_id"].alias("end_id"), n["parent_id"].alias("parent_id"),
+            n["depth"].alias("depth"), n["s_from"].alias("s_from"), n["s_to"].alias("s_to"), n["tag"].alias("tag"),
+            n["attrs"].alias("attrs"), marked_by(n, CONTENT_KEYS).alias("is_content"),
+            F.get(c, i)["n_texts"].alias("n_texts"), F.get(c, i)["is_good"].alias("is_good")))))
+        return let(each, lambda e: F.struct(
+            e.alias("nodes"), texts.alias("texts"), first_where(e, lambda n: n["tag"] == "body").alias("body")))
+
+    return let(texts, facts)
 
 
 def _texts_below(texts: Column, node: Column) -> Column:
     return F.array_compact(F.slice(texts, node["s_from"] + 1, node["s_to"] - node["s_from"]))
 
 
-def _is_good(page: Column, node: Column) -> Column:
-    """Whether a node has text and is not mostly links."""
-    links = F.size(F.filter(page["links"], lambda i: inside(i, node) & (i > node["node_id"])))
-    return ~link_heavy(links, F.size(_texts_below(page["texts"], node)))
-
-
 def _largest(page: Column, tag: str) -> Column:
-    """Block of a tag with the most strings, first of equals; null without text.
-
-    A nested block never has more strings than the one around it, so only the
-    outermost ones are counted.
-    """
+    """Block of a tag with the most strings, first of equals; null without text."""
     body = page["body"]
     blocks = F.filter(
         page["nodes"],
-        lambda n: (n["tag"] == tag)
+        lambda n: (n["tag"] == tag) & (n["n_texts"] > 0)
         & F.when(body.isNull(), F.lit(True)).otherwise(
             inside(n["node_id"], body) & (n["node_id"] > body["node_id"])
         ),
     )
-    start = F.struct(
-        F.lit(-1).alias("last"), F.lit(0).alias("count"),
-        F.get(F.filter(page["nodes"], lambda n: F.lit(False)), F.lit(0)).alias("node"),
-    )
-
-    def step(best: Column, n: Column) -> Column:
-        return F.when(n["node_id"] <= best["last"], best).otherwise(let(
-            F.size(_texts_below(page["texts"], n)),
-            lambda count: F.struct(
-                n["end_id"].alias("last"),
-                F.greatest(count, best["count"]).alias("count"),
-                F.when(count > best["count"], n).otherwise(best["node"]).alias("node"),
-            ),
-        ))
-
-    best = F.aggregate(blocks, start, step)
-    return F.struct(best["count"].alias("count"), best["node"].alias("node"))
+    best = F.array_max(F.transform(blocks, lambda n: F.struct(
+        n["n_texts"].alias("count"), (-n["node_id"]).alias("order"))))
+    return let(best, lambda b: F.struct(
+        F.coalesce(b["count"], F.lit(0)).alias("count"), F.get(page["nodes"], -b["order"]).alias("node")))
 
 
 def _climb(page: Column, node: Column) -> Column:
     """Where a node leads: itself if it is good, else the nearest ancestor that
     has more than three strings and is good, unless the body comes first.
 
-    ``top`` is the highest node looked at on the way.
+    ``top`` is the highest node looked at on the way. The walk follows the parents, so
+    its length is the depth of the node.
     """
-    body = page["body"]
-    chain = F.filter(
-        page["nodes"],
-        lambda m: (m["node_id"] < node["node_id"]) & (m["end_id"] >= node["node_id"])
-        & (F.size(_texts_below(page["texts"], m)) > CLIMB_MIN_STRINGS),
+    nodes, body = page["nodes"], page["body"]
+    start = F.struct(
+        node["parent_id"].alias("at"), F.lit(None).cast("int").alias("target"),
+        node["node_id"].alias("top"), F.lit(True).alias("open"),
     )
-    below_body = let(chain, lambda c: F.when(
-        F.exists(c, lambda m: m["node_id"] == body["node_id"]),
-        F.filter(c, lambda m: m["node_id"] > body["node_id"]),
-    ).otherwise(c))
-    climbed = let(below_body, lambda c: let(
-        F.try_element_at(F.filter(c, lambda m: _is_good(page, m)), F.lit(-1)),
-        lambda good: F.struct(
-            good.alias("target"),
-            F.coalesce(good["node_id"], F.get(c, F.lit(0))["node_id"], node["node_id"]).alias("top"),
-        ),
-    ))
+
+    def look(state: Column, m: Column) -> Column:
+        many = m["n_texts"] > CLIMB_MIN_STRINGS
+        at_body = F.coalesce(many & (m["node_id"] == body["node_id"]), F.lit(False))
+        found = many & m["is_good"] & ~at_body
+        return F.struct(
+            m["parent_id"].alias("at"),
+            F.when(found, m["node_id"]).alias("target"),
+            F.when(many & ~at_body, m["node_id"]).otherwise(state["top"]).alias("top"),
+            (~found & ~at_body & m["parent_id"].isNotNull()).alias("open"),
+        )
+
+    def step(state: Column, _: Column) -> Column:
+        return F.when(state["open"] & state["at"].isNotNull(), let(F.get(nodes, state["at"]), lambda m: look(state, m))).otherwise(state)
+
+    levels = F.when(node["depth"] > 0, F.sequence(F.lit(1), node["depth"])).otherwise(F.array().cast("array<int>"))
+    climbed = let(F.aggregate(levels, start, step), lambda end: F.struct(
+        F.get(nodes, end["target"]).alias("target"), end["top"].alias("top")))
     return F.when(
-        _is_good(page, node),
-        F.struct(node.alias("target"), node["node_id"].alias("top")),
+        node["is_good"], F.struct(node.alias("target"), node["node_id"].alias("top"))
     ).otherwise(climbed)
 
 
@@ -167,27 +149,23 @@ def _candidates(page: Column, steps: Column, container: Column) -> Column:
     top = F.array_min(F.transform(below(container), lambda s: s["top"]))
     root = let(
         F.least(top, container["node_id"]),
-        lambda t: first_where(page["nodes"], lambda n: n["node_id"] == t),
+        lambda t: F.get(page["nodes"], t),
     )
     found = F.transform(let(root, below), lambda s: s["target"])
-    shaped = F.transform(F.filter(found, lambda n: n.isNotNull()), lambda n: F.struct(
-        n["end_id"].alias("end_id"), (-n["node_id"]).alias("order"),
+    ordered = F.array_sort(F.transform(F.filter(found, lambda n: n.isNotNull()), lambda n: F.struct(
+        n["end_id"].alias("end_id"), (-n["node_id"]).alias("order"), n.alias("node"))))
+    once = let(ordered, lambda o: F.filter(o, lambda c, i: (i == 0) | (F.get(o, i - 1)["order"] != c["order"])))
+    return F.transform(once, lambda c: let(c["node"], lambda n: F.struct(
         n["tag"].alias("tag"),
         F.array_sort(F.transform(n["attrs"], lambda a: F.struct(a["name"], a["values"]))).alias("key"),
         F.array_join(_texts_below(page["texts"], n), "\n").alias("text"),
-    ))
-    return F.array_sort(F.array_distinct(shaped))
+    )))
 
 
 def _merged(candidates: Column) -> Column:
     """Texts of the candidates, those with the same attributes in one list."""
-    unique = F.array_distinct(F.transform(
-        candidates, lambda c: F.struct(c["tag"], c["key"], c["text"])
-    ))
-    return let(unique, lambda cs: F.array_distinct(F.transform(
-        F.array_distinct(F.transform(cs, lambda c: c["key"])),
-        lambda k: F.transform(F.filter(cs, lambda c: c["key"] == k), lambda c: c["text"]),
-    )))
+    lists = grouped(distinct(candidates), "key", "text")
+    return distinct(F.coalesce(F.transform(lists, lambda g: g["values"]), F.array().cast("array<array<string>>")))
 
 
 def has_long_string(strings: Column) -> Column:
@@ -214,24 +192,11 @@ def _admitted(lists: Column) -> Column:
     ))
 
 
-def candidate_lists(dom: Column) -> Column:
-    """Candidate bodies of a page: ``first`` from its articles, ``second`` from
-    its divs as well, to be used where the first yields nothing."""
+def candidate_nodes(dom: Column) -> Column:
+    """Candidates for the body of a page, in two arrays of structs (tag, key, text):
+    ``first`` from its articles, ``second`` from its divs."""
     nodes, strings = dom["nodes"], dom["strings"]
 
-    def page(dropped: Column) -> Column:
-        return let(_facts(nodes, dropped), lambda facts: F.struct(
-            facts.alias("nodes"),
-            _live_texts(strings, dropped).alias("texts"),
-            F.transform(F.filter(facts, lambda n: n["is_link"]), lambda n: n["node_id"]).alias("links"),
-            first_where(facts, lambda n: n["tag"] == "body").alias("body"),
-        ))
-
-    def lists(p: Column, steps: Column, containers: Column) -> Column:
-        return F.transform(containers, lambda c: F.when(
-            c.isNotNull(), _admitted(_merged(_candidates(p, steps, c)))
-        ))
-
     def phases(p: Column) -> Column:
         largest = F.struct(*[_largest(p, tag).alias(tag) for tag in CONTENT_TAGS])
         containers = let(largest, lambda b: F.array(
@@ -239,11 +204,22 @@ def candidate_lists(dom: Column) -> Column:
             F.when(b["div"]["count"] > b["article"]["count"], b["div"]["node"]),
         ))
         return let(containers, lambda cs: let(_steps(p, cs), lambda st: let(
-            lists(p, st, cs),
-            lambda ls: F.struct(ls[0].alias("first"), ls[1].alias("second")),
+            F.transform(cs, lambda c: F.when(c.isNotNull(), _candidates(p, st, c))),
+            lambda found: F.struct(found[0].alias("first"), found[1].alias("second")),
         )))
 
-    return let(let(pruned_roots(nodes), page), phases)
+    return let(let(alive(nodes, _is_pruned), lambda living: _page(nodes, strings, living)), phases)
+
+
+def candidate_lists(found: Column) -> Column:
+    """Candidate bodies of a page from its ``candidate_nodes``: ``first`` from its
+    articles, ``second`` from its divs as well, to be used where the first yields nothing.
+
+    A column of its own: as one expression with the search it would be too deep to plan.
+    """
+    both = F.transform(
+        F.array(found["first"], found["second"]), lambda c: F.when(c.isNotNull(), _admitted(_merged(c))))
+    return let(both, lambda ls: F.struct(ls[0].alias("first"), ls[1].alias("second")))
 
 
 # --- ordered pass over the candidate strings of one page --------------------

@@ -29,7 +29,6 @@ class _Columns:
     def __init__(self):
         self.parent, self.end, self.depth = [], [], []
         self.s_from, self.s_to, self.tag = [], [], []
-        self.path, self.path_offsets = [], [0]
         self.attr_name, self.attr_is_list, self.attr_offsets = [], [], [0]
         self.value, self.value_offsets = [], [0]
         self.node_id, self.node_offsets = [], [0]
@@ -46,8 +45,8 @@ class _Columns:
 
     def _buffers(self):
         return (
-            self.parent, self.end, self.depth, self.s_from, self.s_to, self.tag, self.path,
-            self.path_offsets, self.attr_name, self.attr_is_list, self.attr_offsets,
+            self.parent, self.end, self.depth, self.s_from, self.s_to, self.tag,
+            self.attr_name, self.attr_is_list, self.attr_offsets,
             self.value, self.value_offsets, self.node_id, self.string_node, self.string_text,
         )
 
@@ -64,10 +63,9 @@ class _Columns:
                 pa.array(self.end, ints), pa.array(self.depth, ints),
                 pa.array(self.s_from, ints), pa.array(self.s_to, ints),
                 pa.array(self.tag, text),
-                pa.ListArray.from_arrays(pa.array(self.path_offsets, ints), pa.array(self.path, ints)),
                 pa.ListArray.from_arrays(pa.array(self.attr_offsets, ints), attr),
             ],
-            names=["node_id", "parent_id", "end_id", "depth", "s_from", "s_to", "tag", "path", "attrs"],
+            names=["node_id", "parent_id", "end_id", "depth", "s_from", "s_to", "tag", "attrs"],
         )
         string = pa.StructArray.from_arrays(
             [pa.array(self.string_node, ints), pa.array(self.string_text, text)],
@@ -131,8 +129,6 @@ class _Tree(HTMLParser):
         out.s_from.append(count)
         out.s_to.append(count)
         out.tag.append(tag)
-        out.path.extend(ancestors)
-        out.path_offsets.append(len(out.path))
         if attrs:
             by_tag = _LIST_BY_TAG.get(tag, ())
             for name, value in dict(attrs).items():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import stage
 from ..sources.store import find, predicate
 from ..vocab import JS_CREATORS, PROCESSING, QUEUED, SYSTEM_CREATOR
 
@@ -70,42 +71,35 @@ def shuffled(batch: DataFrame, id_column: str, seed: int) -> DataFrame:
     return batch.orderBy(F.xxhash64(F.col(id_column), F.lit(seed)), id_column)
 
 
-#: Rows ranked by one task.
-SLICE_ROWS = 1_000_000
+def numbered(df: DataFrame, key: str) -> DataFrame:
+    """Add ``rank``, the place of each row from 0 in the order of a unique key, and
+    ``total``, the number of rows.
 
-
-def even_split(df: DataFrame, key: str, parts: int, slices: int | None = None) -> DataFrame:
-    """Number the rows by a unique numeric key and split them evenly: the parts
-    differ by one row at most and the first ones get the extra rows.
-
-    Same result as ``ntile`` without its single task: the key range is cut at
-    ``slices`` approximate quantiles, rows are ranked inside a slice, and the
-    slice sizes (``slices`` numbers on the driver, one per ``SLICE_ROWS`` rows) give
-    each rank its offset.
+    Rows are dealt to ranges of the key; a range is ranked by itself on top of the rows
+    in the ranges before it. Those offsets are a table of one row per range.
     """
-    if slices is None:
-        slices = max(8, df.count() // SLICE_ROWS)
-    shares = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(df.select(F.percentile_approx(key, shares, 10_000)).first()[0] or []))
-    slice_of = F.size(F.filter(F.lit(cuts), lambda c: c < F.col(key))) if cuts else F.lit(0)
-    sliced = df.withColumn("__slice", slice_of)
-    sizes = {r[0]: r[1] for r in sliced.groupBy("__slice").count().collect()}
-    offsets, total = [], 0
-    for i in range(len(cuts) + 1):
-        offsets.append(total)
-        total += sizes.get(i, 0)
-    inner = F.row_number().over(Window.partitionBy("__slice").orderBy(key)) - 1
-    rank = F.get(F.lit(offsets), F.col("__slice")) + inner
-    base, extra = divmod(total, parts)
+    spark = df.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = stage(df.repartitionByRange(ranges, key).withColumn("__range", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__size"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"),
+        F.sum("__size").over(Window.partitionBy()).alias("total"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(key)) - 1
+    return dealt.withColumn("__place", within).join(offsets, "__range").select(
+        *df.columns, (F.col("__before") + F.col("__place")).alias("rank"), "total")
+
+
+def even_split(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """Number the rows by a unique key and split them evenly: the parts differ by one row
+    at most and the first ones get the extra rows. The result of ``ntile`` without its
+    single task."""
+    base, extra = F.floor(F.col("total") / parts), F.col("total") % parts
     wide = extra * (base + 1)
-    part = F.when(F.col("__rank") < wide, F.floor(F.col("__rank") / (base + 1))).otherwise(
-        extra + F.floor((F.col("__rank") - wide) / max(base, 1))
-    )
-    return (
-        sliced.withColumn("__rank", rank)
-        .withColumn("part", part.cast("int") + 1)
-        .drop("__slice", "__rank")
-    )
+    part = F.when(F.col("rank") < wide, F.floor(F.col("rank") / (base + 1))).otherwise(
+        extra + F.floor((F.col("rank") - wide) / F.greatest(base, F.lit(1))))
+    return numbered(df, key).withColumn("part", part.cast("int") + 1).drop("rank", "total")
 
 
 def stale_link_query(host: str) -> dict:

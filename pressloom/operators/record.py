@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .author import author
-from .content import candidate_lists, with_content
+from .content import candidate_lists, candidate_nodes, with_content
 from .dom import parse_html
 from .nodes import (
-    marked_by, meta_entries, meta_value, outside_all, page_language, subtree_roots,
+    alive, is_alive, marked_by, meta_entries, meta_value, page_language,
 )
 from .pubdate import block_date
 from .title import clean_title, raw_title
@@ -45,19 +45,17 @@ def meta_time(entries: Column) -> Column:
 
 
 def without_invalid(dom: Column) -> Column:
-    """Parsed page without the elements that rendered pages carry around the text."""
-    roots = subtree_roots(dom["nodes"], lambda n: marked_by(n, PAGE_INVALID_KEYS))
-    return let(
-        F.struct(dom.alias("dom"), roots.alias("roots")),
-        lambda v: F.struct(
-            F.filter(v["dom"]["nodes"], lambda n: outside_all(n["node_id"], v["roots"])).alias("nodes"),
-            F.transform(v["dom"]["strings"], lambda s: F.struct(
-                s["node_id"].alias("node_id"),
-                F.when(outside_all(s["node_id"], v["roots"]), s["text"]).otherwise("").alias("text"),
-            )).alias("strings"),
-            v["dom"]["error"].alias("error"),
-        ),
-    )
+    """Parsed page without the elements that rendered pages carry around the text. Their
+    places stay, as elements without a name, so that a node is found at its number."""
+    def pruned(living: Column) -> Column:
+        nodes = F.transform(dom["nodes"], lambda n, i: F.when(F.get(living, i), n).otherwise(
+            n.withField("tag", F.lit("")).withField("attrs", F.filter(n["attrs"], lambda _: F.lit(False)))))
+        strings = F.transform(dom["strings"], lambda s: F.struct(
+            s["node_id"].alias("node_id"),
+            F.when(is_alive(living, s["node_id"]), s["text"]).otherwise("").alias("text")))
+        return F.struct(nodes.alias("nodes"), strings.alias("strings"), dom["error"].alias("error"))
+
+    return let(alive(dom["nodes"], lambda n: marked_by(n, PAGE_INVALID_KEYS)), pruned)
 
 
 def _meta_fields(entries: Column, nodes: Column) -> Column:
@@ -85,7 +83,7 @@ def _page_columns(_gateway) -> tuple[Column, ...]:
         raw_title(dom).alias("raw_title"),
         author(dom).alias("author"),
         block_date(dom, F.col("as_of")).alias("block_date"),
-        candidate_lists(dom).alias("candidates"),
+        candidate_nodes(dom).alias("candidates"),
     )
 
 
@@ -104,7 +102,7 @@ def extract(pages: DataFrame, keys: list[str], as_of: Column, js: bool = False)
     fields = parsed.select(
         *keys, "site_lang", "as_of", *_page_columns(SparkContext._gateway)
     ).select(
-        *keys, "site_lang", "error", "candidates",
+        *keys, "site_lang", "error", candidate_lists(F.col("candidates")).alias("candidates"),
         F.coalesce(nonempty(F.col("raw_title")), F.col("meta.title")).alias("headline"),
         listed(F.coalesce("author", "meta.author")).alias("article_authors"),
         publish_date(F.col("block_date"), F.col("meta.published"), F.col("as_of"))

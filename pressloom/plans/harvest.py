@@ -121,7 +121,7 @@ def harvest(
     read in the order of their ids: the first that yields a record is stored, the
     later ones are duplicates. ``check_duplicates`` is off when the entries are
     stored articles that are read again. ``suffixes(suffix)`` are the public suffixes,
-    by default those of ``public_suffixes``.
+    by default ``PUBLIC_SUFFIXES``.
     """
     url = F.col("original_url")
     queued = links.where("original_url is not null and original_url <> ''").select(

@@ -38,11 +38,11 @@ DOMAIN_LIST = "list string, name string, domain string"
 
 #: One parsed page. ``nodes`` is in document order, so ``node_id`` is the index
 #: of a node; its subtree is ``node_id .. end_id`` and the strings below it are
-#: ``strings[s_from .. s_to)``. ``path`` holds the ancestors, root first.
+#: ``strings[s_from .. s_to)``; ``nodes[parent_id]`` is its parent.
 DOM = (
     "struct<nodes: array<struct<"
     "node_id: int, parent_id: int, end_id: int, depth: int, s_from: int, s_to: int, "
-    "tag: string, path: array<int>, "
+    "tag: string, "
     "attrs: array<struct<name: string, is_list: boolean, values: array<string>>>>>, "
     "strings: array<struct<node_id: int, text: string>>, "
     "error: string>"

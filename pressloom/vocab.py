@@ -153,8 +153,6 @@ STOPWORDS = {"en": STOPWORDS_EN, "es": STOPWORDS_ES, "tl": STOPWORDS_TL}
 
 # --- public suffixes known by default; pass a fuller table where needed ------
 
-DEFAULT_SUFFIXES = ["com", "net", "org", "co.uk"]
-
 _GENERIC = """
 com net org edu gov mil int info biz name pro mobi asia travel jobs tel cat coop aero museum post
 app dev news press media blog online site website tech store shop live world today life club xyz
@@ -197,9 +195,13 @@ _SECOND_LEVEL = {
     "ve": "co com edu gob info mil net org web", "vn": "ac biz com edu gov health info int name net org pro",
     "za": "ac co edu gov law mil net nom org school web", "zm": "ac co com edu gov net org sch", "zw": "ac co gov mil org",
 }
-#: Suffixes of the plans: generic and country domains and the usual second levels. Not
-#: the whole public list; plans take a table instead.
-PUBLIC_SUFFIXES = _GENERIC + _COUNTRY + [f"{s}.{c}" for c, own in _SECOND_LEVEL.items() for s in own.split()]
+#: Domains all of whose second levels are suffixes, and names that are not.
+_ANY_SECOND_LEVEL = ["*.bd", "*.ck", "!www.ck", "*.er", "*.fk", "*.jm", "*.kh", "*.mm", "*.np", "*.pg"]
+#: Rules that hold by default: generic and country domains and the usual second levels.
+#: Not the whole public list; plans take a table instead.
+PUBLIC_SUFFIXES = (
+    _GENERIC + _COUNTRY + [f"{s}.{c}" for c, own in _SECOND_LEVEL.items() for s in own.split()] + _ANY_SECOND_LEVEL
+)
 
 KEYWORD_DICTIONARIES = {
     "author_invalid": AUTHOR_COMMENT_KEYS + AUTHOR_FOOTER_KEYS,

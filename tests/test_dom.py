@@ -81,10 +81,17 @@ def test_fast_path_equals_general_parser_on_pages():
             assert parse(text, ("script",)) == parse(text, ("script",), plain=False)
 
 
+def lineage(dom, node):
+    line = [node["node_id"]]
+    while dom["nodes"][line[-1]]["parent_id"] is not None:
+        line.append(dom["nodes"][line[-1]]["parent_id"])
+    return line
+
+
 def test_subtree_ranges():
     dom = parse("<div><p>a</p>b<ul><li>c</ul>d</div>")
     for n in dom["nodes"]:
-        below = [m["node_id"] for m in dom["nodes"] if n["node_id"] in m["path"] + [m["node_id"]]]
+        below = [m["node_id"] for m in dom["nodes"] if n["node_id"] in lineage(dom, m)]
         assert below == list(range(n["node_id"], n["end_id"] + 1))
         owned = [i for i, s in enumerate(dom["strings"]) if s["node_id"] in below]
         assert owned == list(range(n["s_from"], n["s_to"]))

@@ -59,6 +59,33 @@ def test_suffix_table_agrees_with_short_list(spark):
     assert sorted(map(str, listed.collect())) == sorted(map(str, joined.collect()))
 
 
+RULES = ["com", "co.uk", "uk", "jp", "*.ck", "!www.ck", "*.kobe.jp", "!city.kobe.jp", "a.b.c", "*.x.*.y"]
+
+
+@pytest.mark.parametrize("host, suffix", [
+    ("a.com", "com"), ("com", "com"), ("x.co.uk", "co.uk"), ("y.uk", "uk"), ("xco.uk", "uk"), ("a.b.ck", "b.ck"),
+    ("b.ck", "b.ck"), ("ck", ""), ("www.ck", "ck"), ("a.www.ck", "ck"), ("awww.ck", "awww.ck"), ("x.kobe.jp", "x.kobe.jp"),
+    ("kobe.jp", "jp"), ("city.kobe.jp", "kobe.jp"), ("z.city.kobe.jp", "kobe.jp"), ("b.c", ""), ("q.a.b.c", "a.b.c"),
+    ("m.x.n.y", "m.x.n.y"), ("A.COM", "com"), ("localhost", ""), ("", ""), ("scom", ""), ("a.commerce", ""),
+])
+def test_public_suffix_rules(spark, host, suffix):
+    from pressloom.functions.suffix import host_parts, public_suffix
+
+    row = spark.range(1).select(public_suffix(F.lit(host), RULES).alias("s"), host_parts(F.lit(host), RULES).alias("p")).first()
+    assert row.s == suffix
+    stem = host[:len(host) - len(suffix) - 1] if suffix and len(host) > len(suffix) else ""
+    assert (row.p.tld, row.p.domain, row.p.subdomain) == (
+        suffix if stem else "", stem.rpartition(".")[2], stem.rpartition(".")[0])
+
+
+def test_rules_of_a_table_are_part_of_the_plan(spark):
+    table = spark.createDataFrame([("*.CK",), ("!www.ck",), (None,)], "suffix string")
+    df = spark.createDataFrame([("http://news.a.ck/1",), ("http://www.ck/2",)], "u string")
+    found = urls.site_identity_with(df, "u", table)
+    assert "Join" not in found._jdf.queryExecution().toString()
+    assert [tuple(r) for r in found.select("site.domain", "site.tld").collect()] == [("news", "a.ck"), ("www", "ck")]
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_salted_lookup_equals_broadcast(spark, how):
     left = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).alias("k"))
