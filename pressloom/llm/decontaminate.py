@@ -143,6 +143,7 @@ class Items:
     norms: np.ndarray = field(init=False)
     lightest: float = field(init=False, default=0.0)
     table: np.ndarray | None = field(init=False, default=None)
+    worth: list[np.ndarray] = field(init=False)
 
     def __post_init__(self) -> None:
         """``points`` are the items' unit passages b in the space, over the squared share
@@ -150,6 +151,7 @@ class Items:
         in the full space, and is it where the space is complete. ``norms`` are the
         weights of the passages; ``lightest`` is the least squared weight of one, each
         over the count of its most frequent term."""
+        self.worth = [self.idf[buckets(words)] for words in self.words]
         owner, points, norms, least = [], [], [], [np.inf]
         for k, words in enumerate(self.words):
             own = buckets(words)
@@ -165,12 +167,35 @@ class Items:
         self.norms, self.lightest = np.array(norms, np.float32), min(least)
         self.points = np.stack(points).astype(np.float32) if points else np.empty((0, self.vectors.shape[1]), np.float32)
 
-    def _products(self, terms: np.ndarray) -> np.ndarray:
-        """Products of terms and the items' passages in the space; kept for all terms
-        while that is no larger than the vectors themselves may be."""
+    def _products(self, starts: np.ndarray, place: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Products of passages and the items' passages in the space.
+
+        A passage is the sum of its words, so words are summed up once for each stride
+        and a passage is the strides it consists of; the last one, which may begin
+        between strides, is summed by itself. The products of single terms are kept for
+        all terms while that is no larger than the vectors themselves may be.
+        """
         if self.table is None and self.vectors.shape[0] * len(self.points) <= BUCKETS * RANK // 4:
             self.table = self.vectors @ self.points.T
-        return self.vectors[terms] @ self.points.T if self.table is None else self.table[terms]
+        rows = self.vectors if self.table is None else self.table
+        per = PASSAGE // STRIDE
+        even = starts % STRIDE == 0
+        pieces = np.unique((starts[even] // STRIDE)[:, None] + np.arange(per))
+        begin = np.concatenate([pieces * STRIDE, starts[~even]])
+        length = np.concatenate([np.full(len(pieces), STRIDE), np.full(int((~even).sum()), PASSAGE)])
+        owner = np.repeat(np.arange(len(begin)), length)
+        at = np.repeat(begin, length) + np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
+        known = place[at] >= 0
+        owner, at = owner[known], at[known]
+        sums = np.zeros((len(begin), rows.shape[1]), np.float32)
+        if len(at):
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            sums[owner[first]] = np.add.reduceat(rows[place[at]] * weight[at][:, None], first, axis=0)
+        out = np.empty((len(starts), rows.shape[1]), np.float32)
+        own = np.searchsorted(pieces, starts[even] // STRIDE)
+        out[even] = sum(sums[own + k] for k in range(per)) if len(own) else 0
+        out[~even] = sums[len(pieces):]
+        return out @ self.points.T if self.table is None else out
 
     def near(self, own: np.ndarray) -> Iterator[tuple[int, int, float]]:
         """(passage, item, cosine) of a text's passages that come near an item, or hold
@@ -192,14 +217,8 @@ class Items:
         starts, whole = starts[chosen], np.sqrt(whole[chosen])
         for first in range(0, len(starts), 256):
             some = starts[first:first + 256]
-            at = some[:, None] + np.arange(PASSAGE)
-            row, column = np.nonzero(place[at] >= 0)
-            at = at[row, column]
-            ids, term = np.unique(place[at], return_inverse=True)
-            size = (len(some), len(ids))
-            matrix = np.bincount(row * len(ids) + term, known[at], size[0] * size[1]).reshape(size)
             length = whole[first:first + 256]
-            product = matrix.astype(np.float32) @ self._products(ids)
+            product = self._products(some, place, weight)
             enough = np.minimum(LEAST_COSINE * length[:, None].astype(np.float32), LEAST_PART * self.norms)
             for i, k in zip(*np.nonzero(product >= np.maximum(enough, 1e-6))):
                 yield int(some[i]), int(self.owner[k]), float(min(1.0, product[i, k] / length[i]))
@@ -230,6 +249,17 @@ def common_subsequence(item: list[bytes], region: list[bytes]) -> int:
     return len(item) - row.bit_count()
 
 
+def may_reach(item: list[bytes], region: list[bytes], worth: np.ndarray, share: float) -> bool:
+    """Whether a common subsequence may have a share of an item's worth, by two bounds on
+    it: the worth of the words that the region has at all, and of the worthiest of these,
+    as many as the longest common subsequence has words."""
+    least, there = share * float(worth.sum()), set(region)
+    found = [w for word, w in zip(item, worth.tolist(), strict=True) if word in there]
+    if sum(found) < least:
+        return False
+    return sum(sorted(found, reverse=True)[:common_subsequence(item, region)]) >= least
+
+
 def common_share(item: list[bytes], region: list[bytes], worth: np.ndarray) -> float:
     """Share of an item's worth in the worthiest common subsequence with a region. A few
     frequent words stand in order nearly everywhere, and weigh little."""
@@ -268,8 +298,8 @@ def findings(text: str | None, items: Items) -> Iterator[tuple[int, float, float
                 merged.append([start, end, cosine])
         for start, end, cosine in merged:
             region = words[int(start):int(end)]
-            if common_subsequence(items.words[k], region) >= PARAPHRASE * len(items.words[k]):
-                worth = items.idf[buckets(items.words[k])]
+            if may_reach(items.words[k], region, items.worth[k], PARAPHRASE):
+                worth = items.worth[k]
                 share = common_share(items.words[k], region, worth)
                 answer = common_share(items.answers[k], region, worth[-len(items.answers[k]):])
                 if share >= VERBATIM or (share >= PARAPHRASE and answer >= ANSWER):
@@ -280,7 +310,7 @@ def findings(text: str | None, items: Items) -> Iterator[tuple[int, float, float
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Which documents hold which benchmark items: (doc_id, item_id, share, answer_share,
-    cosine), one row for each document row and item.
+    cosine), one row for each document id and item: the place with the largest share.
 
     ``benchmark`` has item_id and text. Inverse frequencies come from all documents.
     The latent space is that of the benchmark's passages, the texts searched for: a
@@ -290,7 +320,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     (an item longer than that is a block of its own).
 
     Null and empty texts hold nothing, items without a word or id are not searched for,
-    repeated items are one, repeated documents are found each. Empty tables give no rows.
+    repeated items are one. Rows that share an id are one document and the best of them
+    counts; rows without an id are one as well. Ties in share go to the larger share of
+    the answer, then the larger cosine. Long texts are searched whole, passage by passage.
+    Other columns are ignored; empty tables give no rows.
     """
     idf = inverse_frequency(docs)
     sized = benchmark.filter("item_id is not null and text is not null").select(
@@ -323,9 +356,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(search, schema)
         out = found if out is None else out.unionByName(found)
-    return out.groupBy("doc_id", "item_id").agg(
-        F.max("share").alias("share"), F.max("answer_share").alias("answer_share"), F.max("cosine").alias("cosine")
-    )
+    best = F.max(F.struct("share", "answer_share", "cosine")).alias("best")
+    return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -136,3 +136,81 @@ def test_odd_rows(spark, odd, none):
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [3, 4, 5, 6, 7, 8]
     assert d.contaminated(odd, items.limit(0)).count() == 0 and d.contaminated(none, items).count() == 0
+
+
+def test_bounds_never_rule_out_what_the_rule_accepts():
+    rng = random.Random(6)
+    ruled_out = 0
+    for _ in range(300):
+        item = [b"%d" % rng.randrange(30) for _ in range(rng.randint(1, 30))]
+        region = [b"%d" % rng.randrange(60) for _ in range(rng.randint(0, 60))]
+        worth = np.array([rng.random() ** 4 + 0.01 for _ in item])
+        may = d.may_reach(item, region, worth, d.PARAPHRASE)
+        ruled_out += not may
+        assert may or d.common_share(item, region, worth) < d.PARAPHRASE
+    assert ruled_out > 50
+
+
+def item_block(words, idf):
+    ids = np.unique(np.concatenate([d.buckets(w) for w in words]))
+    place = np.full(d.BUCKETS, -1, np.int32)
+    place[ids] = np.arange(len(ids))
+    answers = [d.answer_of(b" ".join(w).decode()) for w in words]
+    return d.Items(list(range(len(words))), words, answers, idf, place, np.eye(len(ids), dtype=np.float32))
+
+
+def test_few_heavy_words_in_order_are_found():
+    """Seven of twenty words that hold most of the weight."""
+    words = [b"w%d" % i for i in range(20)]
+    idf = np.full(d.BUCKETS, 1.0, np.float32)
+    idf[d.buckets(words[:7])] = 10
+    text = " ".join(f"x{i}" for i in range(30)) + " " + b" ".join(words[:7]).decode() + " y" * 30
+    (found,) = d.findings(text, item_block([words], idf))
+    assert found[0] == 0 and found[1] > 0.8
+
+
+def test_products_of_passages_match_plain_sums():
+    rng = random.Random(9)
+    words = [[b"w%d" % rng.randrange(40) for _ in range(n)] for n in (10, 33, 70)]
+    idf = np.random.default_rng(3).uniform(1, 5, d.BUCKETS).astype(np.float32)
+    items = item_block(words, idf)
+    for n in (1, 15, 16, 31, 32, 33, 48, 50, 333):
+        own = d.buckets([b"w%d" % rng.randrange(60) for _ in range(n)])
+        starts = d.passages(n)
+        place = np.append(items.place[own], np.full(d.PASSAGE, -1, np.int32))
+        weight = np.append(idf[own], np.zeros(d.PASSAGE, np.float32))
+        want = np.zeros((len(starts), len(items.points)))
+        for i, s in enumerate(starts):
+            for at in range(s, min(n, s + d.PASSAGE)):
+                if place[at] >= 0:
+                    want[i] += weight[at] * (items.vectors[place[at]] @ items.points.T)
+        for table in (None, items.vectors @ items.points.T):
+            items.table = table
+            np.testing.assert_allclose(items._products(starts, place, weight), want, rtol=1e-4, atol=1e-4)
+
+
+def test_matches_comparing_every_passage_with_every_item(spark, docs, folder):
+    """The whole query against the rule alone, over every region of every text."""
+    rows, bench, *_ = fixture(spark, folder)
+    rows = rows[-75:] + rows[:40]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    table = docs(rows)
+    got = {(r.doc_id, r.item_id) for r in d.contaminated(table, items).collect()}
+    idf = d.inverse_frequency(table)
+    want = set()
+    for i, text in rows:
+        words = d.terms(text)
+        for k, item in bench:
+            whole = d.terms(item)
+            answer, worth = d.answer_of(item), idf[d.buckets(whole)]
+            reach = len(whole)
+            for at in d.passages(len(words)):
+                region = words[max(0, at - reach):at + d.PASSAGE + reach]
+                if not d.may_reach(whole, region, worth, d.PARAPHRASE):
+                    continue
+                share = d.common_share(whole, region, worth)
+                part = d.common_share(answer, region, worth[-len(answer):])
+                if share >= d.VERBATIM or (share >= d.PARAPHRASE and part >= d.ANSWER):
+                    want.add((i, k))
+                    break
+    assert len(got & want) >= 0.97 * len(want) and len(got - want) <= 0.03 * len(got)
