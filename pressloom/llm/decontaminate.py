@@ -18,6 +18,8 @@ from .words import hash_words
 #: Terms are hashed to so many buckets; this bounds every table of terms.
 BUCKETS = 1 << 18
 _SHIFT = np.uint64(46)
+#: Products of a term and an item's passage below this are left out of sums where most are.
+TINY = 1e-5
 PASSAGE, STRIDE = 32, 16
 RANK, EXTRA = 384, 16
 #: Words of the items searched for in one pass over the corpus.
@@ -143,6 +145,7 @@ class Items:
     norms: np.ndarray = field(init=False)
     lightest: float = field(init=False, default=0.0)
     table: np.ndarray | None = field(init=False, default=None)
+    postings: tuple[np.ndarray, np.ndarray, np.ndarray] | None = field(init=False, default=None)
     worth: list[np.ndarray] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -177,6 +180,10 @@ class Items:
         """
         if self.table is None and self.vectors.shape[0] * len(self.points) <= BUCKETS * RANK // 4:
             self.table = self.vectors @ self.points.T
+            some = np.abs(self.table) > TINY
+            if some.mean() < 1 / 8:
+                first = np.append(0, np.cumsum(some.sum(1)))
+                self.postings = first, np.nonzero(some)[1], self.table[some].astype(float)
         rows = self.vectors if self.table is None else self.table
         per = PASSAGE // STRIDE
         even = starts % STRIDE == 0
@@ -188,7 +195,14 @@ class Items:
         known = place[at] >= 0
         owner, at = owner[known], at[known]
         sums = np.zeros((len(begin), rows.shape[1]), np.float32)
-        if len(at):
+        if len(at) and self.postings:
+            first, point, value = self.postings
+            term = place[at]
+            n = first[term + 1] - first[term]
+            of = np.repeat(first[term] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+            cell = np.repeat(owner * rows.shape[1], n) + point[of]
+            sums = np.bincount(cell, np.repeat(weight[at], n) * value[of], sums.size).reshape(sums.shape).astype(np.float32)
+        elif len(at):
             first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
             sums[owner[first]] = np.add.reduceat(rows[place[at]] * weight[at][:, None], first, axis=0)
         out = np.empty((len(starts), rows.shape[1]), np.float32)
