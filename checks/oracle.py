@@ -417,18 +417,6 @@ SELECT conv_id, coalesce(authors, names) AS authors FROM every LEFT JOIN kept US
 
 BARE = "regexp_replace(html, '(?s)<script>.*?</script>', '', 'g')"
 
-#: Tags in order: an element's depth is the number of elements opened and not yet closed
-#: before it. The pages close what they open.
-ORACLE["node_tree"] = f"""
-WITH tags AS (SELECT page_id, unnest(l) AS t, unnest(range(len(l))) AS pos FROM (
-  SELECT page_id, regexp_extract_all(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
-    '(?s)(<script[^>]*>).*?(</script>)', '\\1\\2', 'g'), '<(/?[a-zA-Z][a-zA-Z0-9]*)[^>]*>', 1) AS l FROM pages)),
-steps AS (SELECT page_id, pos, lower(t) AS tag, CASE WHEN t[1] = '/' THEN -1
-  WHEN list_contains({_list(vocab.VOID_TAGS)}, lower(t)) THEN 0 ELSE 1 END AS step FROM tags),
-deep AS (SELECT *, sum(step) OVER (PARTITION BY page_id ORDER BY pos) - greatest(step, 0) AS depth FROM steps)
-SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS node_id, tag, depth::BIGINT AS depth FROM deep WHERE step >= 0
-"""
-
 ORACLE["tag_histogram"] = """
 WITH t AS (SELECT unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)', 1)) AS tag
            FROM (SELECT regexp_replace(html, '(?s)(<script>).*?</script>', '\\1', 'g') AS html FROM pages))
@@ -577,9 +565,15 @@ SELECT link_id AS article_id, article_url, title AS article_title,
 FROM reason WHERE outcome = 'Article Scraped'"""
 ORACLE["outcome_tally"] = f"{_HARVEST} SELECT outcome, count(*) AS n FROM reason GROUP BY outcome"
 ORACLE["link_status_updates"] = f"""{_HARVEST}
-SELECT link_id, CASE WHEN outcome = 'Article Scraped' THEN 'Done' ELSE 'Error' END AS status, error_status,
+SELECT link_id, CASE WHEN outcome = 'Article Scraped' THEN 'Done' ELSE 'Error' END AS status,
+  CASE WHEN outcome = 'Duplicate article' THEN 'Duplicate Article Found in Database' ELSE error_status END AS error_status,
   CASE WHEN outcome NOT IN ('Article Scraped', 'No Content', 'No Title') THEN 'JS_Error' END AS created_by FROM reason"""
 
+ORACLE["harvest_media"] = f"""{_HARVEST}
+SELECT link_id AS article_id, w.website_id * 100 AS "global", w.website_id * 10 AS "local", 300.0::DOUBLE AS website_cost,
+  md5(content) AS text_md5
+FROM reason r JOIN site s ON s.page_id = r.link_id JOIN websites w ON w.fqdn = s.fqdn WHERE outcome = 'Article Scraped'"""
+
 ORACLE["mapped_pages"] = "SELECT page_id, length(html) AS n_chars FROM pages"
 
 ORACLE["candidate_lists"] = f"""
@@ -616,6 +610,41 @@ SELECT link_id, CASE WHEN NOT ok THEN 'Website not for scraping' WHEN coalesce(c
   WHEN coalesce(title, '') = '' THEN 'No Title' ELSE 'Article Scraped' END AS outcome FROM entry
 """
 
+#: The page that an entry reads decides its fault.
+_FAULT = "CASE f.page_id % 11 WHEN 1 THEN 'No Title' WHEN 2 THEN 'No Content' WHEN 3 THEN 'Error' END"
+ORACLE["article_status_updates"] = f"""
+WITH {SITE}, {_OVERLAP}, {_CONTENT},
+firsts AS (SELECT {CANON} AS article_url, min(page_id) FILTER (WHERE page_id % 11 <> 3) AS good_id, min(page_id) AS page_id
+  FROM pages GROUP BY 1),
+entry AS (SELECT p.page_id AS article_id, f.article_url, c.title, {_FAULT} AS fault, c.content,
+  coalesce(w.country IN ('Philippines', 'Singapore') AND NOT w.is_aggregator AND s.fqdn <> 'philstar.com', false) AS ok
+  FROM pages p JOIN firsts f ON f.article_url = {CANON.replace('url', 'p.url')} JOIN content c ON c.page_id = f.page_id
+  JOIN site s ON s.page_id = p.page_id LEFT JOIN websites w ON w.fqdn = s.fqdn WHERE p.page_id % 6 = 0),
+told AS (SELECT *, CASE WHEN NOT ok THEN 'Unverified Website' WHEN fault = 'Error' THEN 'no page source'
+  WHEN fault = 'No Content' THEN 'Invalid Content' WHEN fault = 'No Title' THEN 'Invalid article title'
+  WHEN coalesce(content, '') = '' THEN 'Invalid Content' WHEN coalesce(title, '') = '' THEN 'Invalid article title' END AS message FROM entry)
+SELECT article_id, article_url, CASE WHEN message IS NULL THEN 'Done' ELSE 'Error' END AS article_status,
+  message AS article_error_status, CASE WHEN message IS NULL THEN title ELSE 'old title' END AS article_title,
+  'pressloom' AS updated_by, '2024-06-01' AS updated FROM told
+"""
+
+ORACLE["harvest_outcomes"] = f"""
+WITH {SITE}, {_OVERLAP}, {_CONTENT},
+firsts AS (SELECT url, min(page_id) AS page_id FROM pages GROUP BY 1),
+entry AS (SELECT p.page_id AS link_id, {CANON.replace('url', 'p.url')} AS article_url, {_FAULT} AS fault, c.title, c.content,
+  coalesce(w.country IN ('Philippines', 'Singapore') AND NOT w.is_aggregator AND s.fqdn <> 'philstar.com', false) AS ok
+  FROM pages p JOIN firsts f ON f.url = p.url JOIN content c ON c.page_id = f.page_id
+  JOIN site s ON s.page_id = p.page_id LEFT JOIN websites w ON w.fqdn = s.fqdn WHERE p.page_id % 17 <> 0),
+tried AS (SELECT *, article_url IN (SELECT {CANON} FROM pages WHERE page_id % 6 = 0) AS is_stored,
+  coalesce(fault, CASE WHEN coalesce(content, '') = '' THEN 'No Content' WHEN coalesce(title, '') = '' THEN 'No Title' END) AS bad FROM entry),
+winner AS (SELECT article_url, min(link_id) AS first_id FROM tried WHERE ok AND NOT is_stored AND bad IS NULL GROUP BY article_url),
+outcome AS (SELECT link_id, CASE WHEN NOT ok THEN 'Website not for scraping'
+  WHEN is_stored OR link_id > first_id THEN 'Duplicate article' ELSE coalesce(bad, 'Article Scraped') END AS outcome
+  FROM tried LEFT JOIN winner USING (article_url))
+SELECT link_id, outcome, CASE outcome WHEN 'Website not for scraping' THEN 'Unverified Website' WHEN 'No Content' THEN 'Invalid Content'
+  WHEN 'No Title' THEN 'Invalid article title' WHEN 'Error' THEN 'no page source' END AS error_status FROM outcome
+"""
+
 #: The pages with a byline and a date written into the article.
 _BYLINED = f"""
 {_BY}, bylined AS (SELECT p.page_id, p.url, replace(p.html, '<article>', '<article>' || CASE form

@@ -566,12 +566,6 @@ def node_rows(spark, folder):
     )
 
 
-@query
-def node_tree(spark, folder):
-    """Place, name and depth of every element."""
-    return nodes.node_table(parsed(spark, folder, drop=())).select("page_id", "node_id", "tag", "depth")
-
-
 @query
 def tag_histogram(spark, folder):
     return nodes.tag_histogram(parsed(spark, folder, drop=()))
@@ -765,6 +759,51 @@ def stored_article_reread(spark, folder):
     return again.outcomes.select("link_id", "outcome")
 
 
+@query
+def harvest_media(spark, folder):
+    """Input of the media-value formula for each article harvested."""
+    return _harvest(spark, folder).media.select("article_id", "global", "local", "website_cost", F.md5("text").alias("text_md5"))
+
+
+def faulty(found: DataFrame) -> DataFrame:
+    """Pages of which some have lost their title, their text or their source."""
+    fault = F.col("page_id") % 11
+    return found.withColumn("html", F.when(fault == 1, F.lit(
+        '<html><head><meta name="description" content="Words of a page"></head><body><p>x</p></body></html>')).when(
+        fault == 2, F.lit("<html><head><title>Only a title</title></head><body></body></html>")).when(
+        fault != 3, F.col("html")))
+
+
+@query
+def article_status_updates(spark, folder):
+    """Stored articles after a log of two readings: an earlier one that failed, and one
+    with all outcomes that reading an article again has."""
+    found = crawl(spark, folder)
+    stored = derived.stored_articles(found).withColumns({
+        "article_error_status": F.lit("before"), "article_title": F.lit("old title"), "date_updated": F.col("date_created"),
+        "updated_by": F.lit("before"),
+    })
+    entries = queue.article_view(stored).select(F.col("id").alias("link_id"), F.col("url").alias("original_url"))
+    again = plan.harvest(
+        entries, faulty(found.withColumn("url", urls.canonical_url(F.col("url")))), derived.websites(found), stored, as_of(),
+        check_duplicates=False)
+    log = again.article_updates(as_of())
+    failed = log.where("article_id % 4 = 0").select(
+        "article_id", F.lit("Error").alias("article_status"), F.lit("timeout").alias("article_error_status"),
+        F.lit("2024-05-01 00:00:00").cast("timestamp_ntz").alias("date_updated"), F.lit(None).cast(log.schema["record"].dataType).alias("record"))
+    out = plan.with_article_log(stored, log.unionByName(failed))
+    return out.select("article_id", "article_url", "article_status", "article_error_status", "article_title", "updated_by",
+                      F.date_format("date_updated", "yyyy-MM-dd").alias("updated"))
+
+
+@query
+def harvest_outcomes(spark, folder):
+    """Links over pages with faults: every outcome there is."""
+    found = crawl(spark, folder)
+    out = plan.harvest(derived.open_links(found), faulty(found), derived.websites(found), derived.stored_articles(found), as_of())
+    return out.outcomes.select("link_id", "outcome", "error_status")
+
+
 @query
 def mapped_pages(spark, folder):
     """A function of the caller run over the pages in batches."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import lookup
 from .nodes import (
     joined_text, live_strings, marked_by, outside_all, strings_below, subtree_roots,
 )
@@ -90,9 +91,10 @@ def cap_authors(names: Column) -> Column:
 def verify_authors(records: DataFrame, people: DataFrame, key: str, names: str) -> DataFrame:
     """Keep the names listed in ``people(name)``, distinct and at most two; the
     names stay as they are where none is listed."""
+    each = records.select(key, F.posexplode(names).alias("pos", "name"))
+    # A name under a third of all records is divided among many tasks.
     listed = (
-        records.select(key, F.posexplode(names).alias("pos", "name"))
-        .join(people.select("name").distinct(), "name", "left_semi")
+        lookup(each, people.select("name").distinct(), "name", "left_semi", key)
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct("pos", "name"))).alias("found"))
         .select(key, cap_authors(F.transform("found", lambda f: f["name"])).alias("verified"))

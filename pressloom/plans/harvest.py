@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import canonical_url, site_identity_with
-from ..operators.joins import lookup, spread, stage
+from ..operators.author import verify_authors
+from ..operators.joins import lookup, prefiltered, spread, stage
 from ..operators.record import article_rows, extract
-from ..operators.sites import check_sites, site_language
+from ..operators.sites import check_sites, media_values, site_language
+from ..sources.store import patched
 from ..sources.tables import usable_pages
 from ..vocab import (
-    DONE, ERROR, JS_ERROR_CREATOR, OUTCOME_DUPLICATE, OUTCOME_ERROR, OUTCOME_NO_CONTENT,
+    DONE, DUPLICATE_MESSAGE, ERROR, JS_ERROR_CREATOR, NO_SOURCE_MESSAGE, OUTCOME_DUPLICATE, OUTCOME_ERROR, OUTCOME_NO_CONTENT,
     OUTCOME_NO_TITLE, OUTCOME_NOT_ELIGIBLE, OUTCOME_SCRAPED,
 )
 
@@ -27,10 +29,19 @@ class Harvest:
 
     articles: DataFrame
     outcomes: DataFrame
+    media: DataFrame | None
 
     def link_updates(self, as_of: Column, js: bool = False) -> DataFrame:
         return status_updates(self.outcomes, as_of, js)
 
+    def article_updates(self, as_of: Column) -> DataFrame:
+        """Versions for the article log: what became of each stored article that was read
+        again, with the fields that a new record has. An entry keeps the id, address and
+        creation of its article."""
+        fresh = self.articles.select("article_id", F.struct(*RECORD_FIELDS).alias("record"))
+        states = article_states(self.outcomes, as_of)
+        return states.join(fresh, "article_id", "left").select(*states.columns, "record")
+
 
 def outcome_of(
     eligible: Column, duplicate: Column, failed: Column, content: Column, title: Column
@@ -46,14 +57,16 @@ def outcome_of(
     )
 
 
-def error_status(outcome: Column, detail: Column) -> Column:
-    """Message recorded with an entry that failed."""
-    return (
+def error_status(outcome: Column, detail: Column, js: bool = False) -> Column:
+    """Message recorded with an entry that failed; in the rendered mode with one that is
+    a duplicate as well."""
+    repeated = F.when((outcome == OUTCOME_DUPLICATE) & F.lit(js), F.lit(DUPLICATE_MESSAGE))
+    return F.coalesce(repeated, (
         F.when(outcome == OUTCOME_NOT_ELIGIBLE, F.lit("Unverified Website"))
         .when(outcome == OUTCOME_NO_CONTENT, F.lit("Invalid Content"))
         .when(outcome == OUTCOME_NO_TITLE, F.lit("Invalid article title"))
         .when(outcome == OUTCOME_ERROR, detail)
-    )
+    ))
 
 
 def status_updates(outcomes: DataFrame, as_of: Column, js: bool = False) -> DataFrame:
@@ -71,6 +84,51 @@ def status_updates(outcomes: DataFrame, as_of: Column, js: bool = False) -> Data
     )
 
 
+#: Fields of an article that reading it again replaces.
+RECORD_FIELDS = [
+    "article_title", "article_section", "article_authors", "article_publish_date", "article_images",
+    "article_content", "article_videos", "article_media_type", "article_ad_value", "article_pr_value",
+    "article_language", "article_source_from", "keyword",
+]
+
+
+def article_states(outcomes: DataFrame, as_of: Column) -> DataFrame:
+    """New state of each article that was read again: (article_id, article_status,
+    article_error_status, date_updated). A repeated article has no state of its own for
+    being one; its first reading counts."""
+    done = F.col("outcome").isin(OUTCOME_SCRAPED, OUTCOME_DUPLICATE)
+    return outcomes.select(
+        F.col("link_id").alias("article_id"),
+        F.when(done, F.lit(DONE)).otherwise(F.lit(ERROR)).alias("article_status"),
+        F.col("error_status").alias("article_error_status"), as_of.alias("date_updated"))
+
+
+def with_article_log(articles: DataFrame, log: DataFrame, editor: str = CREATOR) -> DataFrame:
+    """The article table after the versions of a log: the newest state of each article,
+    and the fields of its newest record. Fields that a record leaves null stay.
+
+    ``log`` has the columns of ``Harvest.article_updates`` and may hold many versions of
+    an article, as an append-only table does; each id is reduced to two rows before it is
+    joined. Writing the result as the new table and starting an empty log compacts it.
+    Versions of one time are ordered by their content, so the result does not depend on
+    the order of arrival.
+    """
+    state = F.struct("date_updated", "article_status", "article_error_status")
+    with_record = F.col("record").isNotNull()
+    newest = log.groupBy("article_id").agg(
+        F.max(state).alias("state"),
+        F.max_by("record", F.when(with_record, F.struct("date_updated", F.xxhash64("record")))).alias("record"))
+    patches = newest.select("article_id", "state.article_status", *[F.col(f"record.{c}").alias(c) for c in RECORD_FIELDS if c in articles.columns])
+    out = patched(articles, patches, "article_id", None, editor)
+    told = newest.select(
+        "article_id", F.col("state.article_error_status").alias("__error"), F.col("state.date_updated").alias("__at"), F.lit(True).alias("__told"))
+    joined = out.join(told, "article_id", "left")
+    # A message goes when the article has been read without one.
+    replaced = {"article_error_status": F.col("__error"), "date_updated": F.col("__at")}
+    return joined.select(*[
+        F.when(F.col("__told"), replaced[c]).otherwise(F.col(c)).alias(c) if c in replaced else F.col(c) for c in out.columns])
+
+
 def tally(outcomes: DataFrame) -> DataFrame:
     """Number of entries per outcome."""
     return outcomes.groupBy("outcome").agg(F.count("*").alias("n"))
@@ -96,23 +154,27 @@ def pages_for(entries: DataFrame, pages: DataFrame) -> DataFrame:
     """Source of each distinct URL wanted; the page with the lowest id where a URL
     was crawled more than once. Entries with the same URL share one page.
 
-    The page is chosen on URL and id alone, so that the source column is read
-    once, and only where it is joined.
+    The page is chosen on URL and id alone, so that the source column is read once, and
+    only where it is joined: a filter of the chosen ids drops the other pages in the scan.
     """
-    wanted = entries.select("url", "site_lang").distinct()
-    chosen = (
-        lookup(pages.select("url", "page_id"), wanted.select("url").distinct(), "url", "left_semi", "page_id")
+    wanted = stage(entries.select("url", "site_lang").distinct(), "wanted")
+    urls = wanted.select("url").distinct()
+    chosen = stage(
+        lookup(prefiltered(pages.select("url", "page_id"), "url", urls), urls, "url", "left_semi", "page_id")
         .groupBy("url").agg(F.min("page_id").alias("page_id"))
-        .join(wanted, "url")
+        .join(wanted, "url"), "chosen",
     )
-    source = pages.select("page_id", "html").where("html is not null and html <> ''")
-    return lookup(spread(source, "page_id"), chosen, "page_id", "inner")
+    span = chosen.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high")).first()
+    # The bounds reach the row groups of the table.
+    source = pages.select("page_id", "html").where("html is not null and html <> ''").where(
+        F.col("page_id").between(F.lit(span.low), F.lit(span.high)))
+    return lookup(spread(prefiltered(source, "page_id", chosen), "page_id"), chosen, "page_id", "inner")
 
 
 def harvest(
     links: DataFrame, pages: DataFrame, websites: DataFrame, articles: DataFrame,
     as_of: Column, creator: str = CREATOR, js: bool = False, check_duplicates: bool = True,
-    suffixes: DataFrame | None = None,
+    suffixes: DataFrame | None = None, people: DataFrame | None = None,
 ) -> Harvest:
     """Harvest a batch of ``links(link_id, original_url)`` against the page table.
 
@@ -121,7 +183,10 @@ def harvest(
     read in the order of their ids: the first that yields a record is stored, the
     later ones are duplicates. ``check_duplicates`` is off when the entries are
     stored articles that are read again. ``suffixes(suffix)`` are the public suffixes,
-    by default ``PUBLIC_SUFFIXES``.
+    by default ``PUBLIC_SUFFIXES``. ``people(name)`` are known names: where an article has
+    some, they are its authors. ``media`` holds the input of the media-value formula for
+    each record: its site's ranks and cost, its text and media (None if the registry has no
+    ranks and costs).
     """
     url = F.col("original_url")
     queued = links.where("original_url is not null and original_url <> ''").select(
@@ -185,10 +250,17 @@ def harvest(
     )
     outcomes = every.select(
         "link_id", "url", "article_url", "outcome",
-        error_status(F.col("outcome"), F.coalesce("error", F.lit("no page source"))).alias("error_status"),
+        error_status(F.col("outcome"), F.coalesce("error", F.lit(NO_SOURCE_MESSAGE if js else "no page source")), js).alias("error_status"),
     )
     scraped = judged.where(F.col("outcome") == OUTCOME_SCRAPED).select("link_id", "url", "article_url")
-    records = article_rows(
-        scraped.join(read, "url"), "link_id", F.col("article_url"), as_of, creator
-    )
-    return Harvest(records, outcomes)
+    own = lookup(scraped.withColumnRenamed("url", "__url"), read.withColumnRenamed("url", "__url"), "__url", "inner", "link_id")
+    records = article_rows(own, "link_id", F.col("article_url"), as_of, creator)
+    if people is not None:
+        records = verify_authors(records, people, "article_id", "article_authors")
+    media = None
+    if {"alexa_rankings", "website_cost"} <= set(websites.columns):
+        sites = entries.select(F.col("link_id").alias("article_id"), "fqdn")
+        media = media_values(records.join(sites, "article_id").select(
+            "article_id", "fqdn", F.col("article_content").alias("text"),
+            F.col("article_images").alias("images"), F.col("article_videos").alias("videos")), websites, "article_id")
+    return Harvest(records, outcomes, media)

@@ -88,6 +88,9 @@ OUTCOME_NO_CONTENT = "No Content"
 OUTCOME_NO_TITLE = "No Title"
 OUTCOME_SCRAPED = "Article Scraped"
 OUTCOME_ERROR = "Error"
+#: Messages of the rendered mode.
+DUPLICATE_MESSAGE = "Duplicate Article Found in Database"
+NO_SOURCE_MESSAGE = "Error getting page source. Connection Timeout"
 
 # --- fixed values: attributes whose value is a list of words ---------------
 
