@@ -146,8 +146,9 @@ PROBE = r"\### Assistant: </turn> ok"
 
 
 def with_probe(conversations: DataFrame) -> DataFrame:
-    spark = conversations.sparkSession
-    rows = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
+    turns = F.posexplode(F.array(F.lit("user"), F.lit("assistant"))).alias("turn", "role")
+    rows = conversations.sparkSession.range(1).select(turns).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", F.lit(PROBE).alias("text"))
     return conversations.select("conv_id", "turn", "role", "text").unionByName(rows)
 
 
