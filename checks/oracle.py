@@ -383,8 +383,8 @@ SELECT doc_id, len(l) AS n_lines, len(list_filter(l, lambda x: length(x) >= 30))
 """
 
 ORACLE["date_mentions"] = f"""
-SELECT o_orderkey, CAST(CASE o_orderkey % 6 WHEN 4 THEN 2 WHEN 5 THEN 0 ELSE 1 END AS BIGINT) AS n_dates,
-  CASE WHEN o_orderkey % 6 <> 5 AND o_orderdate < TIMESTAMP '{AS_OF}'
+SELECT o_orderkey, CAST(CASE o_orderkey % 11 WHEN 4 THEN 2 WHEN 5 THEN 0 ELSE 1 END AS BIGINT) AS n_dates,
+  CASE WHEN o_orderkey % 11 <> 5 AND o_orderdate < TIMESTAMP '{AS_OF}'
        THEN strftime(o_orderdate, '%Y-%m-%d') END AS first_date FROM orders
 """
 

@@ -496,14 +496,28 @@ def string_block_quality(spark, folder):
 
 def _order_texts(spark, folder) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
-    form = F.expr("o_orderkey % 6")
+    form = F.expr("o_orderkey % 11")
+
+    def month(lang: str) -> Column:
+        names = F.array(*[F.lit(n.split()[0].capitalize()) for n in vocab.MONTH_NAMES[lang]])
+        return F.get(names, F.month(day) - 1)
+
+    def said(*parts: Column | str) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    number, year = F.dayofmonth(day), F.year(day)
     written = (
         F.when(form == 0, F.concat(F.lit("Posted on "), F.date_format(day, "MMMM d, yyyy"), F.lit(" by staff")))
         .when(form == 1, F.concat(F.lit("Updated "), F.date_format(day, "d MMM yyyy"), F.lit(", 10:30")))
         .when(form == 2, F.concat(F.lit("on "), F.date_format(day, "yyyy-MM-dd"), F.lit(".")))
         .when(form == 3, F.date_format(day, "M/d/yyyy"))
         .when(form == 4, F.concat(F.lit("2099-12-31, then "), F.date_format(day, "yyyy/M/d")))
-        .otherwise(F.lit("Order 1234-99-99 has no date"))
+        .when(form == 5, F.lit("Order 1234-99-99 has no date"))
+        .when(form == 6, said("Publicado el ", number, " de ", month("es"), " de ", year, "."))
+        .when(form == 7, said("le ", number, F.when(number == 1, "er").otherwise(""), " ", month("fr"), " ", year))
+        .when(form == 8, said("am ", number, ". ", month("de"), " ", year, " um 10 Uhr"))
+        .when(form == 9, said("ika-", number, " ng ", month("tl"), ", ", year))
+        .otherwise(said("Noong ", month("tl"), " ", number, ", ", year, " sa Maynila"))
     )
     orders = spread(table(spark, folder, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
     return orders.select("o_orderkey", day.alias("day"), written.alias("written"))

@@ -6,21 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .columns import first_where
-from ..vocab import ARTICLE_QUIET_WINDOWS, LINK_QUIET_WINDOWS
+from ..vocab import ARTICLE_QUIET_WINDOWS, LINK_QUIET_WINDOWS, MONTH_NAMES
 
-_MONTH = (
-    "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
-    "|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
-)
-_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_NOT_IN_WORD, _WORD_ENDS = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+#: Month names and abbreviations, longest first, so that none hides a longer one.
+_MONTH_NUMBER = {name: i + 1 for months in MONTH_NAMES.values() for i, names in enumerate(months) for name in names.split()}
+_MONTH = _NOT_IN_WORD + "(?:" + "|".join(sorted(_MONTH_NUMBER, key=lambda n: (-len(n), n))) + ")" + _WORD_ENDS
+_DAY = r"[0-9]{1,2}(?:st|nd|rd|th|er|\.|\u00ba)?"
 _ISO = r"[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}"
-_MONTH_FIRST = _MONTH + r"\.?\s+[0-9]{1,2}(?:st|nd|rd|th)?,?\s+[0-9]{4}"
-_DAY_FIRST = r"[0-9]{1,2}(?:st|nd|rd|th)?\s+" + _MONTH + r"\.?,?\s+[0-9]{4}"
 _US = r"[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
+_MONTH_FIRST = rf"{_MONTH}\.?\s+{_DAY},?\s+[0-9]{{4}}"
+_DAY_FIRST = rf"{_DAY}\s+(?:(?:of|de|ng)\s+)?{_MONTH}\.?,?\s+(?:(?:de|del)\s+)?[0-9]{{4}}"
 
-#: Date forms in running text: 2021-03-04, 2021/3/4, March 4th, 2021,
-#: 4 Mar 2021, 3/4/2021 (month first).
-DATE_PATTERN = rf"\b(?:{_ISO}|{_US}|{_MONTH_FIRST}|{_DAY_FIRST})\b"
+#: Date forms in running text: 2021-03-04, 2021/3/4, 3/4/2021 (month first), March 4th,
+#: 2021, 4 Mar 2021, 4 de marzo de 2021, 1er mars 2021, 4. März 2021, ika-4 ng Marso, 2021.
+DATE_PATTERN = rf"{_NOT_IN_WORD}(?:{_ISO}|{_US}|{_MONTH_FIRST}|{_DAY_FIRST}){_WORD_ENDS}"
 
 
 def _iso(year: Column, month: Column, day: Column) -> Column:
@@ -31,7 +31,8 @@ def _iso(year: Column, month: Column, day: Column) -> Column:
 def _parse(mention: Column) -> Column:
     """Timestamp (midnight) of one mention, null for an impossible date."""
     spelled = F.regexp_extract(mention, _MONTH, 0)
-    month = ((F.instr(F.lit(_MONTHS), F.substring(spelled, 1, 3)) + 2) / 3).cast("int").cast("string")
+    numbers = F.create_map(*[F.lit(x) for name, number in sorted(_MONTH_NUMBER.items()) for x in (name, str(number))])
+    month = F.try_element_at(numbers, spelled)
     day = F.regexp_extract(mention, r"(?:^|[^0-9])([0-9]{1,2})(?:[^0-9]|$)", 1)
     year = F.regexp_extract(mention, r"([0-9]{4})", 1)
     parts = F.split(mention, "[-/]")

@@ -64,6 +64,21 @@ REMOVE_SITES = [
     ("Twitter", r"www\.twitter\.com$"),
 ]
 
+# --- fixed values: names of the months with their short forms, by language ----
+
+MONTH_NAMES = {
+    "en": ["january jan", "february feb", "march mar", "april apr", "may", "june jun", "july jul", "august aug",
+           "september sept sep", "october oct", "november nov", "december dec"],
+    "es": ["enero ene", "febrero feb", "marzo mar", "abril abr", "mayo may", "junio jun", "julio jul", "agosto ago",
+           "septiembre setiembre sept sep", "octubre oct", "noviembre nov", "diciembre dic"],
+    "fr": ["janvier janv", "février fevrier févr fevr", "mars", "avril avr", "mai", "juin", "juillet juil", "août aout",
+           "septembre sept", "octobre oct", "novembre nov", "décembre decembre déc"],
+    "de": ["januar jan", "februar feb", "märz maerz mär", "april apr", "mai", "juni jun", "juli jul", "august aug",
+           "september sept sep", "oktober okt", "november nov", "dezember dez"],
+    "tl": ["enero", "pebrero", "marso", "abril", "mayo", "hunyo", "hulyo", "agosto", "setyembre", "oktubre",
+           "nobyembre", "disyembre"],
+}
+
 # --- fixed values: quiet windows (start minute of day, length in minutes) ---
 
 QUIET_MINUTES = 30
