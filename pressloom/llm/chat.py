@@ -129,7 +129,13 @@ def reply_trees(conversations: DataFrame) -> DataFrame:
 
 def digests(conversations: DataFrame) -> DataFrame:
     """Format all conversations and read them back: conv_id, n_turns, turns_sha256,
-    loss_chars, loss_sha256, formatted_chars. No conversations give no rows."""
+    loss_chars, loss_sha256, formatted_chars.
+
+    Null texts and roles are empty; rows without conv_id are left out. Rows of one turn
+    are taken in order of role and text, repeated rows are turns of their own. A long
+    conversation is one row of its whole length. Other columns are ignored, whatever their
+    names. No conversations give no rows.
+    """
     told = formatted(reply_trees(conversations)).withColumn("turns", read_turns(F.col("formatted")))
     loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"])), "")
     told = told.withColumn("loss", loss)

@@ -306,7 +306,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     that similarity's sketches with a chance of 6e-5.
 
     Null texts and texts without words are alone in their class. Rows without doc_id
-    get null classes. Rows that share a doc_id are one document: they get one class.
+    get null classes. Rows that share a doc_id are one document: they get one class. Long
+    texts are sketched whole. Ties go to the least doc_id. Other columns are ignored. No
+    documents give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     drawn = stage(sketches(docs), "sketches")

@@ -291,7 +291,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
     that pass the checks of their kind; kinds may overlap each other. Spans of kind
     ``secret`` (keys, passwords, tokens) are added by the model and touch no base span.
     Places are code points, ends exclusive. Null and empty texts have no span, and the
-    digest of the empty string. Repeated rows get the same answer.
+    digest of the empty string. Repeated rows get the same answer. Long texts are read
+    whole, in time in proportion to their matches. Where spans of one kind tie, the
+    leftmost and longest match counts. Other columns, whatever their names, are ignored. No
+    documents give no rows.
     """
     found = stage(extracted(docs.select("doc_id", "text")).drop("text"), "spans")
     model = train(found)

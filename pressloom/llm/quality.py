@@ -272,5 +272,6 @@ def judge(text: Column, chain: Chain, least_content: float = 0.5) -> Column:
 
 
 def judged(docs: DataFrame, chain: Chain, into: str = "verdict") -> DataFrame:
-    """The documents with their verdict in the column ``into``."""
+    """The documents with their verdict in the column ``into``; a column of that name is
+    replaced. One row per input row; no documents give no rows."""
     return docs.withColumn(into, judge(F.col("text"), chain))

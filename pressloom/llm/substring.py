@@ -154,7 +154,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     starts in a document with a smaller doc_id; all windows are judged on the input.
     ``kept_text`` is the other words joined by one space. Null and empty texts have no
     words. Rows without doc_id neither lose words nor make others lose them. Rows that
-    share a doc_id do not count as repeats of each other, whatever their texts.
+    share a doc_id do not count as repeats of each other, whatever their texts. Long texts
+    are cut into windows whole. Other columns are ignored. No documents give no rows.
     """
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("version"), "text"

@@ -303,7 +303,13 @@ def toxicity(text: Column, model: Model) -> Column:
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document, learned from labelled
-    documents that are not held out."""
+    documents that are not held out.
+
+    One row per input row. Null and empty texts and those without a word of the lexicon
+    have the score of a text without signs. Long texts are read whole. Repeated rows get
+    the same score; equal scores need no order. Other columns, whatever their names, are
+    ignored. No documents give no rows.
+    """
     model = train(docs, labels)
     told = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity(F.col("text"), model).alias("score"))
     return told.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
