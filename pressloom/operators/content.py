@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from .nodes import alive, has_attribute, inside, is_alive, link_heavy, live_counts, marked_by, string_counts
+from ..functions.batches import pieces
 from ..functions.columns import distinct, first_where, grouped, let, nonempty, strip
 from ..functions.similarity import THRESHOLD, word_trigrams
 from ..vocab import (
@@ -368,7 +369,7 @@ def with_content(
     def select(batches):
         stop = {}
         invalid = _Words(CONTENT_INVALID_KEYS)
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole)):
             bodies = []
             for lists, title, language in zip(
                 batch.column(candidates).to_pylist(),
