@@ -846,6 +846,7 @@ def stream_harvest(spark, folder):
     files_each = max(1, len(spark.read.parquet(queue_folder).inputFiles()) // 6)
     harvest_stream.harvest_available(
         harvest_stream.link_stream(spark, queue_folder, files_per_trigger=files_each),
-        found, derived.websites(found), out, f"{queue_folder}-checkpoint", as_of,
+        # A registry is a table; each batch reads it again.
+        found, stage(derived.websites(found), "websites"), out, f"{queue_folder}-checkpoint", as_of,
     )
     return spark.read.parquet(f"{out}/link_status").select("link_id", "status", "error_status")
