@@ -63,7 +63,8 @@ def inverse_frequency(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for text in batch.column(0):
                 n += 1
-                seen[np.unique(buckets(terms(text.as_py())))] += 1
+                # Repeated words are dropped before they are hashed.
+                seen[np.unique(buckets(list(set(terms(text.as_py())))))] += 1
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(used, -1)), pa.array(np.append(seen[used], n))], ["bucket", "n"])
@@ -205,10 +206,16 @@ class Items:
         elif len(at):
             first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
             sums[owner[first]] = np.add.reduceat(rows[place[at]] * weight[at][:, None], first, axis=0)
-        out = np.empty((len(starts), rows.shape[1]), np.float32)
         own = np.searchsorted(pieces, starts[even] // STRIDE)
-        out[even] = sum(sums[own + k] for k in range(per)) if len(own) else 0
-        out[~even] = sums[len(pieces):]
+        # Passages side by side, the most frequent case, need no copies of the strides.
+        side = len(own) > 0 and own[-1] - own[0] == len(own) - 1
+        parts = [sums[own[0] + k:own[0] + k + len(own)] if side else sums[own + k] for k in range(per)]
+        out = np.empty((len(starts), rows.shape[1]), np.float32)
+        # Starts ascend, and only the last one may lie between strides.
+        np.add(parts[0], parts[1], out=out[:len(own)])
+        for part in parts[2:]:
+            out[:len(own)] += part
+        out[len(own):] = sums[len(pieces):]
         return out @ self.points.T if self.table is None else out
 
     def near(self, own: np.ndarray) -> Iterator[tuple[int, int, float]]:
@@ -233,9 +240,14 @@ class Items:
             some = starts[first:first + 256]
             length = whole[first:first + 256]
             product = self._products(some, place, weight)
-            enough = np.minimum(LEAST_COSINE * length[:, None].astype(np.float32), LEAST_PART * self.norms)
-            for i, k in zip(*np.nonzero(product >= np.maximum(enough, 1e-6))):
-                yield int(some[i]), int(self.owner[k]), float(min(1.0, product[i, k] / length[i]))
+            # The least that any item's passage asks for leaves few to be compared with their own.
+            angle = LEAST_COSINE * length.astype(np.float32)
+            least = np.maximum(np.minimum(angle, LEAST_PART * self.norms.min()), 1e-6)
+            i, k = np.divmod(np.flatnonzero(product >= least[:, None]), product.shape[1])
+            value = product[i, k]
+            enough = value >= np.maximum(np.minimum(angle[i], LEAST_PART * self.norms[k]), 1e-6)
+            i, k, value = i[enough], k[enough], value[enough]
+            yield from zip(some[i].tolist(), self.owner[k].tolist(), np.minimum(1.0, value / length[i]).tolist())
 
 
 def answer_of(text: str) -> list[bytes]:
