@@ -71,15 +71,16 @@ def shuffled(batch: DataFrame, id_column: str, seed: int) -> DataFrame:
     return batch.orderBy(F.xxhash64(F.col(id_column), F.lit(seed)), id_column)
 
 
-def numbered(df: DataFrame, key: str) -> DataFrame:
+def numbered(df: DataFrame, key: str, slices: int | None = None) -> DataFrame:
     """Add ``rank``, the place of each row from 0 in the order of a unique key, and
     ``total``, the number of rows.
 
-    Rows are dealt to ranges of the key; a range is ranked by itself on top of the rows
+    Rows are dealt to ranges of the key, ``slices`` of them or one for each shuffle
+    partition or core; a range is ranked by itself on top of the rows
     in the ranges before it. Those offsets are a table of one row per range.
     """
     spark = df.sparkSession
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    ranges = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     dealt = stage(df.repartitionByRange(ranges, key).withColumn("__range", F.spark_partition_id()), "ranges")
     sizes = dealt.groupBy("__range").agg(F.count("*").alias("__size"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -91,7 +92,7 @@ def numbered(df: DataFrame, key: str) -> DataFrame:
         *df.columns, (F.col("__before") + F.col("__place")).alias("rank"), "total")
 
 
-def even_split(df: DataFrame, key: str, parts: int) -> DataFrame:
+def even_split(df: DataFrame, key: str, parts: int, slices: int | None = None) -> DataFrame:
     """Number the rows by a unique key and split them evenly: the parts differ by one row
     at most and the first ones get the extra rows. The result of ``ntile`` without its
     single task."""
@@ -99,7 +100,7 @@ def even_split(df: DataFrame, key: str, parts: int) -> DataFrame:
     wide = extra * (base + 1)
     part = F.when(F.col("rank") < wide, F.floor(F.col("rank") / (base + 1))).otherwise(
         extra + F.floor((F.col("rank") - wide) / F.greatest(base, F.lit(1))))
-    return numbered(df, key).withColumn("part", part.cast("int") + 1).drop("rank", "total")
+    return numbered(df, key, slices).withColumn("part", part.cast("int") + 1).drop("rank", "total")
 
 
 def stale_link_query(host: str) -> dict:
