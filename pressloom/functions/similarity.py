@@ -41,6 +41,16 @@ def trigrams(value: Column) -> Column:
     ))
 
 
+def packed_trigrams(value: Column) -> Column:
+    """The same trigrams as numbers: the code points of the three characters, 21 bits
+    each. Equal numbers are equal trigrams, and arrays of numbers are compared faster."""
+    codes = let(padded(value), lambda p: F.transform(
+        F.sequence(F.lit(1), F.length(p)), lambda i: F.ascii(F.substring(p, i, F.lit(1))).cast("long")))
+    return let(codes, lambda c: F.transform(
+        F.sequence(F.lit(0), F.size(c) - 3),
+        lambda i: F.shiftleft(F.get(c, i), 42) + F.shiftleft(F.get(c, i + 1), 21) + F.get(c, i + 2)))
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -124,7 +134,8 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
     repeats no trigram more than ``m`` times then shares at least
     ``need = ceil(0.49 n / m)`` distinct ones. So it must share one of the
     word's rarest ``distinct - need + 1`` trigrams, and the equi-join runs on
-    those only: trigrams that most words have rarely take part.
+    those only: trigrams that most words have rarely take part. Trigrams are numbers
+    here, and a value with fewer than ``need`` distinct ones is not compared.
 
     A pair that meets on several of them is kept where it meets first, so no
     pair has to be made distinct, and it is verified on both trigram arrays in
@@ -136,7 +147,7 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
     # Both inputs are used several times and may be costly to compute.
     known = stage(dictionary.select("word").where("word <> ''").distinct(), "words")
     distinct_values = stage(values.select("value").where("value <> ''").distinct(), "values")
-    words = known.withColumn("grams", trigrams(F.col("word"))).select(
+    words = known.withColumn("grams", packed_trigrams(F.col("word"))).select(
         "word", F.size("grams").alias("n"), F.array_distinct("grams").alias("grams")
     )
     word_gram = words.select("word", "n", F.explode("grams").alias("gram"))
@@ -150,7 +161,7 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
     ranked = ordered.select("word", "n", "word_grams", F.posexplode("word_grams").alias("rank", "gram"))
     # Each value grows into many pairs, so small partitions are not merged here.
     shaped = repartitioned(distinct_values, "value").withColumn(
-        "value_grams", trigrams(F.col("value"))
+        "value_grams", packed_trigrams(F.col("value"))
     ).withColumn("distinct_grams", F.array_distinct("value_grams"))
     vals = shaped.select(
         "value", "value_grams", "distinct_grams",
@@ -175,7 +186,7 @@ def similarity_join(values: DataFrame, dictionary: DataFrame) -> DataFrame:
         need = F.ceil(F.col("n") * THRESHOLD / F.lit(100.0) / most)
         meets_earlier = F.arrays_overlap(F.slice("word_grams", F.lit(1), F.col("rank")), "distinct_grams")
         # Cheap test first: a conjunction may be evaluated in any order, this is not.
-        met = F.when(F.col("rank") <= F.size("word_grams") - need, ~meets_earlier)
+        met = F.when((F.col("rank") <= F.size("word_grams") - need) & (F.size("distinct_grams") >= need), ~meets_earlier)
         percent = F.col("matches") * F.lit(100.0) / F.col("n")
         return (
             some_values.join(side, keys)
